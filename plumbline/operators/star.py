@@ -8,11 +8,10 @@ from plumbline.functions.parsing import date_key
 from plumbline.operators.keys import add_dense_key
 
 
-def dim_date(orders: DataFrame, controls: DataFrame) -> DataFrame:
-    """One row per date that an order or a control has."""
-    dates = orders.select(F.col("order_date").alias("calendar_date")).union(controls.select("control_date"))
+def calendar(dates: DataFrame) -> DataFrame:
+    """Date dimension of the distinct days in a one-column frame, with their parts."""
     d = F.col("calendar_date")
-    return dates.distinct().select(
+    return dates.toDF("calendar_date").distinct().select(
         date_key(d).alias("date_key"),
         d,
         F.year(d).alias("year"),
@@ -21,6 +20,11 @@ def dim_date(orders: DataFrame, controls: DataFrame) -> DataFrame:
     )
 
 
+def dim_date(orders: DataFrame, controls: DataFrame) -> DataFrame:
+    """One row per date that an order or a control has."""
+    return calendar(orders.select("order_date").union(controls.select("control_date")))
+
+
 def dim_customer(customers: DataFrame) -> DataFrame:
     """One row per customer, numbered by business key."""
     columns = ["customer_id", "customer_name", "segment", "status", "created_date"]
