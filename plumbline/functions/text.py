@@ -34,3 +34,15 @@ def is_blank(c: Column, is_text: bool = True) -> Column:
     if not is_text:
         return c.isNull()
     return c.isNull() | (F.trim(c) == "")
+
+
+# Longest value that `identity` keeps as it is; its digests are longer.
+_LONGEST_KEPT = 64
+
+
+def identity(c: Column) -> Column:
+    """Value that is equal exactly where `c` is, and short: long text is its SHA-256 digest.
+
+    For grouping and distinct counts of whole texts, which would otherwise be shuffled in full.
+    """
+    return F.when(F.length(c) > _LONGEST_KEPT, F.concat(F.lit("sha256:"), F.sha2(c, 256))).otherwise(c)

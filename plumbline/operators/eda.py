@@ -79,19 +79,21 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
 def correlation(df: DataFrame) -> DataFrame:
     """Pearson correlation of every pair of numeric columns, three digits, one row per pair.
 
-    NULL where a column does not vary. A pair counts the rows that have both values.
+    NULL where a column does not vary. A pair counts the rows that have both values. Each unordered pair
+    is computed once.
     """
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-
-    def pair(x: str, y: str):
-        a = F.when(F.col(y).isNotNull(), F.col(x).cast("double"))
-        b = F.when(F.col(x).isNotNull(), F.col(y).cast("double"))
-        spread = F.stddev_pop(a) * F.stddev_pop(b)
-        value = F.round(F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0)), 3) + F.lit(0.0)
-        return F.struct(F.lit(x).alias("column_x"), F.lit(y).alias("column_y"), value.alias("correlation"))
-
-    pairs = F.array(*[pair(x, y) for x in numeric for y in numeric])
-    return df.agg(pairs.alias("pairs")).select(F.inline("pairs"))
+    rows = []
+    for i, x in enumerate(numeric):
+        for y in numeric[i:]:
+            a = F.when(F.col(y).isNotNull(), F.col(x).cast("double"))
+            b = F.when(F.col(x).isNotNull(), F.col(y).cast("double"))
+            spread = F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))
+            value = F.when(spread.isNotNull(), 1.0) if x == y else F.round(F.covar_pop(a, b) / spread, 3) + 0.0
+            for left, right in {(x, y), (y, x)}:
+                names = F.lit(left).alias("column_x"), F.lit(right).alias("column_y")
+                rows.append(F.struct(*names, value.alias("correlation")))
+    return df.agg(F.array(*rows).alias("pairs")).select(F.inline("pairs"))
 
 
 def histogram(df: DataFrame, column: str, max_bins: int = 6) -> DataFrame:

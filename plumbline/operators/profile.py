@@ -1,4 +1,4 @@
-"""Column profiles of a dataset in one pass."""
+"""Column profiles of a dataset in one action."""
 
 from __future__ import annotations
 
@@ -6,9 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from plumbline.functions.frames import literal_rows
 from plumbline.functions.numeric import ratio_half_even
-from plumbline.functions.text import is_blank
+from plumbline.functions.text import identity, is_blank
 
 
 def _finish(measured: DataFrame, dataset: str, evaluated_at: datetime) -> DataFrame:
@@ -29,48 +28,40 @@ def _finish(measured: DataFrame, dataset: str, evaluated_at: datetime) -> DataFr
 def profile(df: DataFrame, dataset: str, evaluated_at: datetime, distinct: str = "exact") -> DataFrame:
     """Rows, blanks, distinct values and lexical bounds of every column, all as text.
 
-    `exact`: cells are counted per (column, value), which combines repeated values before the shuffle and
-    spreads each column's values over all tasks; the columns are then summed up from those counts.
-    `approx`: one aggregation with sketches, which shuffles one row per task, for tables whose columns are
-    mostly unique.
+    Rows, blanks and bounds of all columns are one aggregation that shuffles a row per task. Distinct
+    values are counted by how `distinct` says:
+
+    `exact`: distinct (column, value) pairs, which drops repeated values before the shuffle, spreads each
+    column's values over all tasks, and carries long text as its digest. This reads the table a second time.
+    `approx`: sketches within the one aggregation, for tables whose columns are mostly unique.
     """
+    if distinct not in ("exact", "approx"):
+        raise ValueError(f"unknown distinct mode: {distinct}")
     columns = df.columns
     text = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    if distinct == "approx":
-        per_column = [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.count("*").alias("row_count"),
-                F.count_if(is_blank(F.col(c))).alias("null_count"),
-                F.approx_count_distinct(c, 0.02).alias("distinct_count"),
-                F.min(c).alias("min_value"),
-                F.max(c).alias("max_value"),
-            ).alias(c)
-            for c in columns
-        ]
-        measured = text.agg(*per_column).select(F.inline(F.array(*columns)))
-        return _finish(measured, dataset, evaluated_at)
-    if distinct != "exact":
-        raise ValueError(f"unknown distinct mode: {distinct}")
-
-    counted = text.unpivot([], columns, "column_name", "value").groupBy("column_name", "value").agg(
-        F.count("*").alias("cells")
-    )
-    # A column without any row still gets its profile.
-    no_cells = literal_rows(
-        df.sparkSession, [(c, None, 0) for c in columns], {"column_name": "string", "value": "string", "cells": "bigint"}
-    )
-    measured = (
-        counted.unionByName(no_cells)
-        .groupBy("column_name")
-        .agg(
-            F.sum("cells").alias("row_count"),
-            F.sum(F.when(is_blank(F.col("value")), F.col("cells")).otherwise(0)).alias("null_count"),
-            F.count("value").alias("distinct_count"),
-            F.min("value").alias("min_value"),
-            F.max("value").alias("max_value"),
+    per_column = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.count("*").alias("row_count"),
+            F.count_if(is_blank(F.col(c))).alias("null_count"),
+            F.min(c).alias("min_value"),
+            F.max(c).alias("max_value"),
+            *([F.approx_count_distinct(c, 0.02).alias("distinct_count")] if distinct == "approx" else []),
+        ).alias(c)
+        for c in columns
+    ]
+    measured = text.agg(*per_column).select(F.inline(F.array(*columns)))
+    if distinct == "exact":
+        values = text.select(*[identity(F.col(c)).alias(c) for c in columns])
+        counts = (
+            values.unpivot([], columns, "column_name", "value")
+            .where("value IS NOT NULL")
+            .distinct()
+            .groupBy("column_name")
+            .agg(F.count("*").alias("distinct_count"))
         )
-    )
+        # A column of NULLs only has no distinct values. One row per column on either side.
+        measured = measured.join(counts, "column_name", "left").na.fill(0, ["distinct_count"])
     return _finish(measured, dataset, evaluated_at)
 
 

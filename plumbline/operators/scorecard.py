@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from plumbline.functions.numeric import percent, ratio
 from plumbline.functions.parsing import month_start
-from plumbline.functions.text import is_blank
+from plumbline.functions.text import identity, is_blank
 from plumbline.operators.checks import duplicate_rows
 
 
@@ -51,7 +51,9 @@ def validity(df: DataFrame, product: str, conditions: dict[str, Column]) -> Data
 
 def uniqueness(df: DataFrame, product: str, keys: list[str]) -> DataFrame:
     """One minus duplicate rows over keys assessed (K4)."""
-    passed = {", ".join(keys): F.count("*") - duplicate_rows(*keys)}
+    text = {f.name for f in df.schema if f.dataType.typeName() == "string"}
+    parts = [identity(F.col(k)).alias(k) if k in text else F.col(k) for k in keys]
+    passed = {", ".join(keys): F.count("*") - duplicate_rows(*parts)}
     return _scores(df, product, "uniqueness", passed, F.count("*"))
 
 

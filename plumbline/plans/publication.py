@@ -47,10 +47,12 @@ def run(
     evaluated_at: datetime,
     policy: Policy = Policy(),
     mode: str = "strict",
+    run_id: str | None = None,
 ) -> dict[str, DataFrame]:
     """Publish the model if every control passes, and return its tables and views.
 
-    The controls are persisted before the gate, so a failed run leaves its evidence under `checks`. In
+    The controls are persisted before the gate, per `run_id` (the evaluation time if not given), so a
+    failed run leaves its evidence under `checks` and earlier runs stay readable beside it. In
     `quarantine` mode rows that do not parse are set aside under `rejects`; the raw-to-clean count control
     then reports them. In `strict` mode they end the run.
     """
@@ -65,11 +67,13 @@ def run(
 
     ages = files.raw_file_ages(spark, raw_dir, day.isoformat())
     suite = checks.check_suite(clean, raw, evaluated_at, policy, ages, raw_columns)
-    files.write_governed(suite, f"{out_dir}/checks/dq_check_result")
-    results = files.read_governed(spark, f"{out_dir}/checks/dq_check_result", CHECK_SCHEMA)
+    run_id = run_id or f"{evaluated_at:%Y%m%dT%H%M%S}"
+    path = f"{out_dir}/checks/dq_check_result/run_id={run_id}"
+    files.write_governed(suite, path)
+    results = files.read_governed(spark, path, CHECK_SCHEMA)
     # At most one row per control.
     numbered = recon.check_exceptions(results).withColumn("exception_key", F.row_number().over(W.orderBy("check_id")))
-    files.write_governed(numbered, f"{out_dir}/checks/dq_reconciliation_exception")
+    files.write_governed(numbered, f"{out_dir}/checks/dq_reconciliation_exception/run_id={run_id}")
     checks.gate(results)
 
     for name in DATASETS:

@@ -408,12 +408,15 @@ SELECT count(*) AS orders, {money('sum(cents)')} AS total, any_value(q1) / 10000
        count(*) FILTER (cents * 200 < low2 OR cents * 200 > high2) AS outliers
 FROM so, fences"""
 
-ORACLES["line_price_outliers"] = f"""WITH li AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem),
-{_fences('li', 'cents')}
-SELECT l_orderkey, l_linenumber, l_partkey, {money('cents')} AS price FROM li, fences
+ORACLES["event_value_outliers"] = f"""WITH ev AS (
+  SELECT event_id, event_type, CAST(round(value * 100) AS BIGINT) AS cents FROM events),
+{_fences('ev', 'cents')}
+SELECT event_id, event_type, {money('cents')} AS value FROM ev, fences
 WHERE cents * 200 < low2 OR cents * 200 > high2"""
 
+ORACLES["document_length_outliers"] = f"""WITH {_fences('documents', 'n_chars')}
+SELECT doc_id, source, n_chars FROM documents, fences WHERE n_chars * 200 < low2 OR n_chars * 200 > high2"""
+
 ORACLES["histogram"] = f"""WITH {SALES}, s AS (
   SELECT min(cents) AS low, max(cents) AS high, least(6, count(*)) AS bins FROM so), c AS (
   SELECT least(((cents - low) * bins) // (high - low), bins - 1) AS bin, count(*) AS n FROM so, s GROUP BY 1)

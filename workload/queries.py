@@ -301,12 +301,17 @@ def order_distribution(spark, sf):
 
 
 @register
-def line_price_outliers(spark, sf):
-    """Line items whose price is outside the fences."""
-    lines = b.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_extendedprice").cast("decimal(18,2)").alias("price")
+def event_value_outliers(spark, sf):
+    """Events whose value is outside the fences."""
+    events = b.table(spark, sf, "events").select(
+        "event_id", "event_type", F.col("value").cast("decimal(18,2)").alias("value")
     )
-    return eda.outliers(lines, "price")
+    return eda.outliers(events, "value")
+
+
+@register
+def document_length_outliers(spark, sf):
+    return eda.outliers(b.table(spark, sf, "documents").select("doc_id", "source", "n_chars"), "n_chars")
 
 
 @register
