@@ -6,16 +6,24 @@ from pyspark.sql import Column, functions as F
 
 from plumbline.functions.text import strip
 
-# Accepted date layouts, tried in this order.
-DATE_LAYOUTS = ("yyyy-M-d", "yyyy/M/d", "d-M-yyyy")
+# Accepted date layouts, year first with either separator, or day first.
+YEAR_FIRST = r"^(?!0000)\d{4}(-\d{1,2}-|/\d{1,2}/)\d{1,2}$"
+DAY_FIRST = r"^(\d{1,2})-(\d{1,2})-((?!0000)\d{4})$"
 
 MONEY = "decimal(18,2)"
 
 
 def parse_date(c: Column) -> Column:
-    """First layout that fits."""
+    """Date in any accepted layout.
+
+    The layout is told by its shape and the text put into ISO order, which the cast reads fast; trying
+    formats in turn would raise and catch an error per row and format.
+    """
     text = strip(c)
-    return F.coalesce(*[F.try_to_date(text, layout) for layout in DATE_LAYOUTS])
+    iso = F.when(text.rlike(YEAR_FIRST), F.replace(text, F.lit("/"), F.lit("-"))).when(
+        text.rlike(DAY_FIRST), F.regexp_replace(text, DAY_FIRST, "$3-$2-$1")
+    )
+    return iso.try_cast("date")
 
 
 def parse_amount(c: Column) -> Column:

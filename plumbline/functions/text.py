@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Characters trimmed from the edges, and kept inside a key.
-EDGE_SPACE = r"^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x85]+$"
-NOT_ALPHANUMERIC = r"[^\p{L}\p{N}]"
+# The white space trimmed from the edges of text, and what is dropped from a key.
+ASCII_SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+OTHER_SPACE = (
+    "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+NOT_ALPHANUMERIC = r"[^\p{L}\p{N}]+"
 
 
 def strip(c: Column) -> Column:
-    """Drop leading and trailing white space of any Unicode kind."""
-    return F.regexp_replace(c, EDGE_SPACE, "")
+    """Drop leading and trailing white space of any Unicode kind (C5); ASCII text takes the short list."""
+    is_ascii = F.octet_length(c) == F.length(c)
+    return F.when(is_ascii, F.trim(c, F.lit(ASCII_SPACE))).otherwise(F.trim(c, F.lit(ASCII_SPACE + OTHER_SPACE)))
 
 
 def normalize_key(c: Column) -> Column:
@@ -21,7 +25,7 @@ def normalize_key(c: Column) -> Column:
 
 def normalize_enum(c: Column) -> Column:
     """Domain value: trimmed, upper case, each hyphen or blank an underscore."""
-    return F.translate(F.upper(strip(c)), "- ", "__")
+    return F.replace(F.replace(F.upper(strip(c)), F.lit("-"), F.lit("_")), F.lit(" "), F.lit("_"))
 
 
 def normalize_code(c: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from plumbline.functions import parsing, text
 from plumbline.sources.contracts import CLEAN_COLUMNS
@@ -42,52 +42,56 @@ def _parsed_columns(dataset: str) -> list[str]:
     return [name for name, kind in CLEAN_COLUMNS[dataset].items() if kind != "string"]
 
 
-def _reason(dataset: str, clean: dict[str, Column]) -> Column:
-    """Names of the columns that did not parse, or NULL."""
-    failed = [F.when(clean[name].isNull(), F.lit(name)) for name in _parsed_columns(dataset)]
-    return F.nullif(F.concat_ws(", ", *failed), F.lit(""))
-
+def standardize(raw: DataFrame, dataset: str) -> DataFrame:
+    """Every raw row with its typed columns; extra raw columns are dropped."""
+    return raw.select(*[cleaner(F.col(name)).alias(name) for name, cleaner in CLEANERS[dataset].items()])
 
-def _clean_columns(dataset: str) -> dict[str, Column]:
-    return {name: cleaner(F.col(name)) for name, cleaner in CLEANERS[dataset].items()}
 
+def parse(raw: DataFrame, dataset: str) -> DataFrame:
+    """Every raw row with its typed columns, `reject_reason`, and `raw_row` where there is a reason (C11).
 
-def standardize(raw: DataFrame, dataset: str) -> DataFrame:
-    """Every raw row with its typed columns; extra raw columns are dropped."""
-    return raw.select(*[c.alias(name) for name, c in _clean_columns(dataset).items()])
+    The reason names the dates, amounts and counts that are absent or do not parse. Written once, this
+    answers both for the accepted rows and for the rejects, so that raw text is parsed in one pass.
+    """
+    names = list(CLEANERS[dataset])
+    # The raw columns step aside, so that the reason can be read off the typed ones.
+    kept = raw.select(F.struct(*names).alias("raw_row"))
+    typed = kept.select(*[cleaner(F.col(f"raw_row.{name}")).alias(name) for name, cleaner in CLEANERS[dataset].items()], "raw_row")
+    failed = [F.when(F.col(name).isNull(), F.lit(name)) for name in _parsed_columns(dataset)]
+    reason = F.nullif(F.concat_ws(", ", *failed), F.lit(""))
+    return typed.withColumn("reject_reason", reason).withColumn(
+        "raw_row", F.when(F.col("reject_reason").isNotNull(), F.col("raw_row"))
+    )
 
 
-def accepted(raw: DataFrame, dataset: str) -> DataFrame:
-    """Typed rows whose dates, amounts and counts all parsed."""
-    typed = standardize(raw, dataset)
-    return typed.where(" AND ".join(f"{name} IS NOT NULL" for name in _parsed_columns(dataset)))
+def accepted(parsed: DataFrame) -> DataFrame:
+    """Typed rows of a parsed dataset that are not rejected."""
+    return parsed.where("reject_reason IS NULL").drop("reject_reason", "raw_row")
 
 
-def rejects(raw: DataFrame, dataset: str) -> DataFrame:
-    """Raw text of the rows with a date, amount or count that is absent or does not parse (C11)."""
-    reason = _reason(dataset, _clean_columns(dataset))
-    return raw.select(*CLEANERS[dataset], reason.alias("reject_reason")).where("reject_reason IS NOT NULL")
+def rejects(parsed: DataFrame) -> DataFrame:
+    """Raw text of the rejected rows of a parsed dataset, with the reason."""
+    return parsed.where("reject_reason IS NOT NULL").select("raw_row.*", "reject_reason")
 
 
-def clean(raw: DataFrame, dataset: str, mode: str = "strict") -> DataFrame:
+def clean(parsed: DataFrame, mode: str = "strict") -> DataFrame:
     """Typed dataset. `strict` raises if any row is rejected; `quarantine` leaves rejected rows out."""
     if mode == "strict":
-        bad = rejects(raw, dataset).first()
+        bad = rejects(parsed).first()
         if bad is not None:
-            raise RejectedRows(f"{dataset}: cannot parse {bad['reject_reason']}: {bad.asDict()}")
-        return standardize(raw, dataset)
-    if mode == "quarantine":
-        return accepted(raw, dataset)
-    raise ValueError(f"unknown mode: {mode}")
+            raise RejectedRows(f"cannot parse {bad['reject_reason']}: {bad.asDict()}")
+    elif mode != "quarantine":
+        raise ValueError(f"unknown mode: {mode}")
+    return accepted(parsed)
 
 
 def clean_customers(raw: DataFrame, mode: str = "strict") -> DataFrame:
-    return clean(raw, "customers", mode)
+    return clean(parse(raw, "customers"), mode)
 
 
 def clean_orders(raw: DataFrame, mode: str = "strict") -> DataFrame:
-    return clean(raw, "sales_orders", mode)
+    return clean(parse(raw, "sales_orders"), mode)
 
 
 def clean_controls(raw: DataFrame, mode: str = "strict") -> DataFrame:
-    return clean(raw, "gl_controls", mode)
+    return clean(parse(raw, "gl_controls"), mode)

@@ -112,10 +112,13 @@ def histogram(df: DataFrame, column: str, max_bins: int = 6) -> DataFrame:
             "high": F.when(F.col("low") == F.col("high"), F.col("high") + F.lit(Decimal("0.5"))).otherwise(F.col("high")),
         }
     )
-    one = stats.select(F.struct("low", "high", "bins")).scalar()
-    width = one["high"] - one["low"]
-    bin_of = F.least(F.call_function("div", (value - one["low"]) * one["bins"], width), one["bins"] - 1)
-    counts = df.where(value.isNotNull()).groupBy(bin_of.cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    # The one-row statistics as a scalar subquery, evaluated once and read by every row.
+    placed = df.where(value.isNotNull()).select(
+        value.alias("v"), stats.select(F.struct("low", "high", "bins")).scalar().alias("s")
+    )
+    width = F.col("s.high") - F.col("s.low")
+    bin_of = F.least(F.call_function("div", (F.col("v") - F.col("s.low")) * F.col("s.bins"), width), F.col("s.bins") - 1)
+    counts = placed.groupBy(bin_of.cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
     def edge(i):
         return ratio(F.col("low") * (F.col("bins") - i) + F.col("high") * i, F.col("bins"), digits=4)
@@ -137,8 +140,8 @@ def headline(orders: DataFrame, checks: DataFrame) -> DataFrame:
         F.struct(F.count_if(F.col("status") == "PASS").alias("passed"), F.count("*").alias("total"))
     ).scalar()
     sales = orders.agg(F.count("*").alias("orders"), F.sum("order_amount").alias("total_usd"))
-    return sales.select(
-        "orders", "total_usd", passed["passed"].alias("checks_passed"), passed["total"].alias("checks_total")
+    return sales.withColumn("_checks", passed).select(
+        "orders", "total_usd", F.col("_checks.passed").alias("checks_passed"), F.col("_checks.total").alias("checks_total")
     )
 
 

@@ -143,10 +143,10 @@ def enterprise_summary(fact: DataFrame, checks: DataFrame, recon_daily: DataFram
         )
     ).scalar()
     recon = recon_daily.agg(F.count_if(F.col("reconciliation_status") == "FAIL")).scalar()
-    return sales.select(
+    return sales.withColumn("_quality", quality).select(
         "sales_order_count",
         "sales_revenue_usd",
-        quality["rate"].alias("data_quality_pass_rate_pct"),
-        quality["open"].alias("open_quality_exceptions"),
+        F.col("_quality.rate").alias("data_quality_pass_rate_pct"),
+        F.col("_quality.open").alias("open_quality_exceptions"),
         recon.alias("reconciliation_exceptions"),
     )

@@ -60,10 +60,11 @@ def run(
     for name in DATASETS:
         extract = files.read_extract(spark, f"{raw_dir}/{name}.csv", name, enforce=False)
         raw_columns[name] = spark.read.option("header", True).csv(f"{raw_dir}/{name}.csv").columns
-        raw[name] = extract
+        parsed = files.materialize(cleaning.parse(extract, name), f"parsed-{name}")
+        raw[name] = parsed
         if mode == "quarantine":
-            files.write_governed(cleaning.rejects(extract, name), f"{out_dir}/rejects/{name}")
-        clean[name] = files.materialize(cleaning.clean(extract, name, mode), f"clean-{name}")
+            files.write_governed(cleaning.rejects(parsed), f"{out_dir}/rejects/{name}")
+        clean[name] = cleaning.clean(parsed, mode)
 
     ages = files.raw_file_ages(spark, raw_dir, day.isoformat())
     suite = checks.check_suite(clean, raw, evaluated_at, policy, ages, raw_columns)

@@ -20,7 +20,7 @@ def suite(spark, customers, orders, controls, policy=Policy(), mode="quarantine"
         "sales_orders": spark.createDataFrame(orders, ORDER),
         "gl_controls": spark.createDataFrame(controls, CONTROL),
     }
-    clean = {name: cleaning.clean(df, name, mode) for name, df in raw.items()}
+    clean = {name: cleaning.clean(cleaning.parse(df, name), mode) for name, df in raw.items()}
     return checks.check_suite(clean, raw, AT, policy, **more)
 
 

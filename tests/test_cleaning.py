@@ -47,11 +47,11 @@ def test_rows_that_do_not_parse_are_set_aside_with_their_reason(spark):
         ("so-3", "c1", None, "", "usd", "online"),
         ("so-4", "c1", "2026-01-01", "1", None, ""),
     )
-    bad = cleaning.rejects(raw, "sales_orders")
+    bad = cleaning.rejects(cleaning.parse(raw, "sales_orders"))
     assert [(r.order_id, r.reject_reason) for r in bad.orderBy("order_id").collect()] == [
         ("so-1", "order_date"), ("so-2", "order_amount"), ("so-3", "order_date, order_amount"),
     ]
-    assert rows(cleaning.accepted(raw, "sales_orders").select("order_id", "currency", "category")) == [("SO4", None, "")]
+    assert rows(cleaning.accepted(cleaning.parse(raw, "sales_orders")).select("order_id", "currency", "category")) == [("SO4", None, "")]
     assert cleaning.clean_orders(raw, "quarantine").count() == 1
     with pytest.raises(cleaning.RejectedRows, match="order_date"):
         cleaning.clean_orders(raw)
@@ -62,7 +62,7 @@ def test_fractional_counts_are_rejected(spark):
         [("2026-01-01", "erp", "1.5", "1", "usd"), ("2026-01-01", "erp", " 2 ", "1", "usd")],
         "control_date string, source_system string, order_count string, order_amount string, currency string",
     )
-    assert [r.reject_reason for r in cleaning.rejects(raw, "gl_controls").collect()] == ["order_count"]
+    assert [r.reject_reason for r in cleaning.rejects(cleaning.parse(raw, "gl_controls")).collect()] == ["order_count"]
     assert rows(cleaning.clean_controls(raw, "quarantine"))[0][1:3] == ("ERP", 2)
 
 
