@@ -11,6 +11,8 @@ SETTINGS = {
     # A hot foreign key is split at run time even where a later operator then needs another shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Recording the calling line of every Column costs round trips to the JVM; plans here have many.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
