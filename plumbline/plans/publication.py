@@ -58,9 +58,10 @@ def run(
     """
     raw, raw_columns, clean = {}, {}, {}
     for name in DATASETS:
-        extract = files.read_extract(spark, f"{raw_dir}/{name}.csv", name, enforce=False)
-        raw_columns[name] = spark.read.option("header", True).csv(f"{raw_dir}/{name}.csv").columns
-        parsed = files.materialize(cleaning.parse(extract, name), f"parsed-{name}")
+        extract = files.read_raw(spark, f"{raw_dir}/{name}.csv")
+        raw_columns[name] = extract.columns
+        # Raw text is parsed once; controls, staging and the star schema read the written result.
+        parsed = files.materialize(cleaning.parse(files.fill_missing(extract, name), name), f"parsed-{name}")
         raw[name] = parsed
         if mode == "quarantine":
             files.write_governed(cleaning.rejects(parsed), f"{out_dir}/rejects/{name}")

@@ -10,17 +10,27 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from plumbline.sources.contracts import CLEAN_COLUMNS, ContractError, missing_columns
 
 
-def read_extract(spark: SparkSession, path: str, dataset: str, enforce: bool = True) -> DataFrame:
-    """Raw CSV extract with a header, every column text.
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with a header as it is, every column text."""
+    return spark.read.option("header", True).option("escape", '"').csv(path)
 
-    Columns are matched by name, so their order and extra columns do not matter. With `enforce=False` a
-    missing column is added as NULL, and is left for the control suite to report.
+
+def fill_missing(raw: DataFrame, dataset: str) -> DataFrame:
+    """Missing required columns added as NULL, for the control suite to report."""
+    missing = missing_columns(raw.columns, dataset)
+    return raw.withColumns({name: F.lit(None).cast("string") for name in missing}) if missing else raw
+
+
+def read_extract(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+    """Raw CSV extract that has its required columns.
+
+    Columns are matched by name, so their order and extra columns do not matter.
     """
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    raw = read_raw(spark, path)
     missing = missing_columns(raw.columns, dataset)
-    if missing and enforce:
+    if missing:
         raise ContractError(f"{dataset} missing required columns: {missing}")
-    return raw.withColumns({name: F.lit(None).cast("string") for name in missing}) if missing else raw
+    return raw
 
 
 def read_staged(spark: SparkSession, path: str, dataset: str) -> DataFrame:

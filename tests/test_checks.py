@@ -105,7 +105,7 @@ def test_freshness_of_files(spark):
     ages = lambda *rows: spark.createDataFrame(list(rows), "file_name string, age_days int")
     fresh = checks.freshness(ages(("b.csv", 7), ("a.csv", 2)), Policy()).first()
     assert (fresh.status, fresh.observed, fresh.expected) == ("PASS", "7 days", "<= 7 days")
-    assert fresh.detail == '[{"file_name":"a.csv","age_days":2},{"file_name":"b.csv","age_days":7}]'
+    assert fresh.detail == '[["a.csv", 2], ["b.csv", 7]]'
     assert checks.freshness(ages(("b.csv", 8)), Policy()).first().status == "FAIL"
     assert checks.freshness(ages(), Policy()).first().status == "FAIL"
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 
@@ -11,20 +12,7 @@ from plumbline.sources import files
 from conftest import rows
 
 DAY, AT = dt.date(2026, 9, 5), dt.datetime(2026, 9, 5, 6, 3)
-
-
-def rule(rule_id, kind, **more):
-    return {"rule_id": rule_id, "dataset": "sales_orders", "kind": kind, "severity": "HIGH", "owner": "O", "description": "t", **more}
-
-
-RULES = {
-    "incident_policy": {"open_on_status": ["FAIL"]},
-    "rules": [
-        rule("CATEGORY", "expression", condition="category IN ('ONLINE', 'WHOLESALE', 'RETAIL')"),
-        rule("CUSTOMER", "foreign_key", column="customer_id", reference_dataset="customers", reference_column="customer_id"),
-        rule("FRESH", "freshness", column="order_date", max_age_days=7),
-    ],
-}
+RULES = rules.load_rules(Path(__file__).resolve().parents[1] / "config" / "sales_rules.json")
 
 
 @pytest.fixture(scope="module")
@@ -82,7 +70,7 @@ def test_governance_opens_incidents_once(spark, published, tmp_path):
         for name in publication.DATASETS
     }
     good = governance.run(spark, frames, RULES, str(tmp_path / "good"), DAY, AT)
-    assert good["governed_column_profile"].count() == 16
+    assert good["governed_column_profile"].count() == 16 and good["governed_rule_result"].count() == 6
     assert {r.status for r in good["governed_rule_result"].collect()} == {"PASS"}
     assert good["governed_incident"].count() == 0 and good["governed_incident"].columns[0] == "incident_id"
     profiles = {(r.dataset, r.column_name): (r.distinct_count, r.min_value, r.max_value) for r in good["governed_column_profile"].collect()}
@@ -92,8 +80,8 @@ def test_governance_opens_incidents_once(spark, published, tmp_path):
     stale = dt.date(2026, 9, 9)
     for _ in range(2):
         bad = governance.run(spark, frames, RULES, str(tmp_path / "bad"), stale, AT)
-    assert rows(spark.sql("SELECT incident_id, failed_rows FROM vw_open_data_incidents")) == [("INC-FRESH-20260909", 4)]
-    assert rows(spark.sql("SELECT * FROM vw_governed_rule_status")) == [("HIGH", "O", "FAIL", 1, 4), ("HIGH", "O", "PASS", 2, 0)]
+    assert rows(spark.sql("SELECT incident_id, failed_rows FROM vw_open_data_incidents")) == [("INC-SO_FRESHNESS-20260909", 4)]
+    assert ("HIGH", "Commerce Data Engineering", "FAIL", 1, 4) in rows(spark.sql("SELECT * FROM vw_governed_rule_status"))
     governance.run(spark, frames, RULES, str(tmp_path / "bad"), dt.date(2026, 9, 10), AT)
     assert spark.read.parquet(str(tmp_path / "bad" / "incident")).count() == 2
     assert rules.open_incidents(bad["governed_incident"]).count() >= 1
