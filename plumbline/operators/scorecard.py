@@ -170,13 +170,15 @@ def time_to_resolve(exceptions: DataFrame) -> DataFrame:
 def recurrence(exceptions: DataFrame, within_days: int = 30) -> DataFrame:
     """Exceptions that repeat rule and root cause within 30 days, of those resolved, per rule and month.
 
-    Days are the grain. Exceptions are counted per rule, cause and day before the look-back, so a group
-    has at most one row per calendar day in the window, however often it recurs. A repeat falls in the
-    month it opens, a resolution in the month it closes.
+    Days are the grain. Exceptions are counted per rule, cause, day and closing month first, in one pass
+    that both halves share; the look-back then sees at most one row per calendar day in a group, however
+    often it recurs. A repeat falls in the month it opens, a resolution in the month it closes.
     """
-    per_day = exceptions.groupBy("rule_id", "root_cause", F.to_date("opened_at").alias("day")).agg(
+    closed = month_start(F.col("resolved_at")).alias("closed")
+    counted = exceptions.groupBy("rule_id", "root_cause", F.to_date("opened_at").alias("day"), closed).agg(
         F.count("*").alias("opened")
     )
+    per_day = counted.groupBy("rule_id", "root_cause", "day").agg(F.sum("opened").alias("opened"))
     before = F.lag("day").over(W.partitionBy("rule_id", "root_cause").orderBy("day"))
     first_repeats = F.coalesce(F.date_diff("day", before) <= within_days, F.lit(False)).cast("bigint")
     repeats = (
@@ -184,10 +186,12 @@ def recurrence(exceptions: DataFrame, within_days: int = 30) -> DataFrame:
         .groupBy("rule_id", month_start(F.col("day")).alias("month_start"))
         .agg(F.sum("repeats").alias("repeats"))
     )
+    # Open ones leave by their sum and not by a filter on the month, which would move into the scan and
+    # make this half's pass a different one.
     resolved = (
-        exceptions.where(F.col("resolved_at").isNotNull())
-        .groupBy("rule_id", month_start(F.col("resolved_at")).alias("month_start"))
-        .agg(F.count("*").alias("resolved"))
+        counted.groupBy("rule_id", F.col("closed").alias("month_start"))
+        .agg(F.sum(F.when(F.col("closed").isNotNull(), F.col("opened"))).alias("resolved"))
+        .where("resolved IS NOT NULL")
     )
     both = repeats.join(resolved, ["rule_id", "month_start"], "full_outer").select(
         "rule_id",

@@ -109,3 +109,10 @@ def test_facts_are_summed_per_customer_before_the_dimension_join(spark):
     assert scan_side.index("HashAggregate") < scan_side.index("Range")
     got = {r.segment: (r.customers_with_orders, r.order_count) for r in kpi.segment_kpi(fact, customers).collect()}
     assert sum(n for _, n in got.values()) == 3000 and sum(c for c, _ in got.values()) == 50
+
+
+def test_recurrence_reads_the_exceptions_once(spark):
+    df = QUERIES["score_recurrence"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final

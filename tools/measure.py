@@ -40,7 +40,7 @@ def main() -> None:
         seconds[name] = time.perf_counter() - start
     spark.stop()
 
-    totals = {name: dict.fromkeys(("jobs", "tasks", "read", "shuffle", "spill", "cpu"), 0) for name in names}
+    totals = {name: dict.fromkeys(("jobs", "tasks", "shuffle", "spill", "cpu"), 0) for name in names}
     stage_query = {}
     for line in next(Path(log).iterdir()).open(encoding="utf-8"):
         event = json.loads(line)
@@ -52,16 +52,15 @@ def main() -> None:
         elif event["Event"] == "SparkListenerTaskEnd" and event["Stage ID"] in stage_query:
             t, m = totals[stage_query[event["Stage ID"]]], event.get("Task Metrics") or {}
             t["tasks"] += 1
-            t["read"] += m.get("Input Metrics", {}).get("Bytes Read", 0)
             t["shuffle"] += m.get("Shuffle Write Metrics", {}).get("Shuffle Bytes Written", 0)
             t["spill"] += m.get("Disk Bytes Spilled", 0)
             t["cpu"] += m.get("Executor CPU Time", 0)
-    print("| Query | s (first run) | jobs | tasks | task CPU s | read KB | shuffle KB | spilled KB |")
-    print("| --- | ---: | ---: | ---: | ---: | ---: | ---: | ---: |")
+    print("| Query | s (first run) | jobs | tasks | task CPU s | shuffle KB | spilled KB |")
+    print("| --- | ---: | ---: | ---: | ---: | ---: | ---: |")
     for name, t in totals.items():
         print(
             f"| `{name}` | {seconds[name]:.2f} | {t['jobs']} | {t['tasks']} | {t['cpu'] / 1e9:.2f} | "
-            f"{t['read'] // 1024} | {t['shuffle'] // 1024} | {t['spill'] // 1024} |"
+            f"{t['shuffle'] // 1024} | {t['spill'] // 1024} |"
         )
 
 
