@@ -35,9 +35,6 @@ CLEAN_COLUMNS: dict[str, dict[str, str]] = {
 CHECK_SCHEMA = (
     "check_id string, status string, observed string, expected string, detail string, evaluated_at_utc timestamp"
 )
-RULE_SCHEMA = (
-    "rule_id string, dataset string, kind string, severity string, owner string, description string"
-)
 INCIDENT_SCHEMA = (
     "incident_id string, rule_id string, dataset string, severity string, owner string, status string, "
     "failed_rows bigint, opened_at_utc timestamp, deduplication_key string"
