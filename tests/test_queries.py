@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from workload import oracles as workload_oracles, queries as workload_queries
 from tools.verify import TABLES, kind
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = workload_queries.QUERIES, workload_oracles.ORACLES
 
 
 @pytest.fixture(scope="module")
