@@ -9,8 +9,8 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.llm import bpe, chat, decontaminate, exact, langid, line_dedup, secrets, simhash, token_counts
-from plumbline.llm.common import arrow_map, table
+from plumbline.llm import bpe, chat, decontaminate, exact, langid, line_dedup, secrets, simhash, suffix, token_counts
+from plumbline.llm.common import arrow_map, table, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,16 @@ def op1_digest(formatted: DataFrame) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    bytes_gone = F.aggregate("removed", F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["start"])
+    per_text = suffix.remove_repeats(docs, length=200).select(
+        "digest", "n_bytes", bytes_gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+    rows = docs.select("doc_id", F.sha2(whole().cast("binary"), 256).alias("digest"))
+    return rows.join(per_text, "digest").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -113,6 +123,7 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_chat_formatting,
+        op2_suffix_dedup,
         op3_exact_dedup,
         op4_language_id,
         op5_bpe,
