@@ -67,7 +67,7 @@ class Scratch:
 
     def keep(self, df: DataFrame, name: str, collect: bool = False) -> DataFrame:
         path = f"{self.root}/{name}-{len(self.paths)}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         if collect:

@@ -215,7 +215,8 @@ def _refined(rows: DataFrame, group: list[str], scratch: Scratch) -> tuple[DataF
     several = classes.where("members > 1 AND alone").select(*group, "refined")
     settled = scratch.keep(rows.where("alone").join(several, [*group, "refined"]).select("tid", "lo", "n"), "settled", collect=True)
     open_ = classes.groupBy(*group).agg(F.sum("members").alias("all"), F.max(F.col("alone") & (F.col("members") == 1)).alias("open"))
-    asked = classes.join(open_.where("all > 1 AND open").select(*group), group)
+    open_ = scratch.keep(open_.where("all > 1 AND open").select(*group), "open")
+    asked = classes.join(open_, group)
     return settled, asked.select("bucket", "one.*", (F.col("alone") & (F.col("members") == 1)).alias("alone"))
 
 
@@ -223,6 +224,7 @@ def repeated(texts: DataFrame, scratch: Scratch, length: int, q: int) -> DataFra
     """(tid, lo, n): runs of suffixes whose first `length` bytes start elsewhere in `texts` too."""
     found = scratch.keep(_anchored(texts, length, q), "anchors")
     shared = found.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("bucket")
+    shared = scratch.keep(shared, "shared", collect=True)  # written, so that Spark can split a hot bucket in the join
     met = scratch.keep(found.join(shared, "bucket").withColumn("alone", F.lit(True)), "met", collect=True)
     scratch.drop(found)
     whole_runs, asked = _refined(met, ["bucket"], scratch)
@@ -233,7 +235,9 @@ def repeated(texts: DataFrame, scratch: Scratch, length: int, q: int) -> DataFra
     ddl = "bucket long, refined long, tid long, lo long, n int, to int, alone boolean"
     single = scratch.keep(_finer(texts, asked, suffixes, length, ddl), "suffixes", collect=True)
     scratch.drop(cut)
-    single_suffixes, _ = _refined(single, ["bucket"], scratch)
+    again = single.groupBy("bucket", "refined").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("bucket", "refined")
+    again = scratch.keep(again, "again", collect=True)
+    single_suffixes = scratch.keep(single.where("alone").join(again, ["bucket", "refined"]).select("tid", "lo", "n"), "settled", collect=True)
     return whole_runs.unionByName(whole_blocks).unionByName(single_suffixes)
 
 
