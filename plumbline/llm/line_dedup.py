@@ -121,12 +121,13 @@ def _texts(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> Dat
     return scratch.keep(one.select(F.monotonically_increasing_id().alias("tid"), "*"), "texts", collect=True)
 
 
-def links(texts: DataFrame) -> DataFrame:
+def links(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """Distinct (later, earlier) pairs of texts: each shared line links a text to the first one that holds it."""
     order = F.struct(F.col("first_id").isNull().alias("none"), "first_id", "digest", "tid")
     held = texts.select(F.explode("seeds").alias("line"), order.alias("text"))
     first = held.groupBy("line").agg(F.min("text").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    first = first.select("line", F.col("first.tid").alias("earlier"))
+    # Written, so that Spark can split a hot line in the join.
+    first = scratch.keep(first.select("line", F.col("first.tid").alias("earlier")), "first")
     shared = texts.select(F.explode("seeds").alias("line"), "tid").join(first, "line").where("tid <> earlier")
     return shared.select(F.col("tid").alias("later"), "earlier").distinct()
 
@@ -153,7 +154,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """Rows of `docs` as struct `row`, with n_lines, n_removed and the text that is left as `kept`."""
     scratch = Scratch(docs.sparkSession, "lines")
     texts = _texts(docs, scratch, id_col, text_col)
-    pairs = scratch.keep(links(texts), "links", collect=True)
+    pairs = scratch.keep(links(texts, scratch), "links", collect=True)
     gone = _deleted(texts, pairs)
     seen = texts.select("tid", "digest", "first_id", F.size("seeds").alias("n_seeds")).join(gone, "tid", "left")
     seen = scratch.keep(seen.drop("tid").withColumnRenamed("digest", "of_digest"), "gone", collect=True)

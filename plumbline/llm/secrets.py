@@ -137,12 +137,14 @@ def scan(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = B
     for r in rules:
         wanted = wanted | ((F.col("rule") == r.kind) & (F.col("version") == r.version))
     rank = F.coalesce(*[F.when(F.col("rule") == k, F.lit(i)) for k, i in order.items()])
+    scratch = Scratch(docs.sparkSession, "secrets")
     lists = (
         found.where(wanted)
         .distinct()
         .groupBy("blob")
         .agg(F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "end", F.col("rule").alias("kind")))).alias("findings"))
     )
+    lists = scratch.keep(lists, "lists")  # written, so that Spark can split a hot content in the join
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.sha2(whole(text_col).cast("binary"), 256).alias("blob"))
     return rows.join(lists, "blob", "left").select(
         "doc_id",

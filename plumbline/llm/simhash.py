@@ -93,7 +93,7 @@ def near_pairs(fps: DataFrame, radius: int, scratch: Scratch, small: int = SMALL
     pairs = None
     for level, masks in enumerate(levels):
         rows = rows.select("fp", "mask", F.col("fp").bitwiseAND(F.col("bits")).alias("key"))
-        sizes = rows.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        sizes = scratch.keep(rows.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
         met = scratch.keep(rows.join(sizes, ["mask", "key"]), f"buckets{level}", collect=True)
         last = level == len(levels) - 1
         few = met if last else met.where(F.col("n") <= small)
