@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,7 +28,9 @@ from plumbline.llm.common import arrow_map, packed, slices, whole
 
 MAX_VOCABULARY = 64 << 20
 #: Kept chunks of text at most, and the length in characters up to which one is kept.
-KEPT, KEPT_LENGTH = 400_000, 48
+KEPT, KEPT_LENGTH = 250_000, 40
+#: Pre-tokens that one index holds.
+INDEXED = 50_000
 
 
 def byte_letters() -> list[str]:
@@ -37,6 +40,23 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+class Splitter:
+    """Pre-tokens of chunks of text, as the vocabulary's pre-tokenizer makes them."""
+
+    def __init__(self, config: str):
+        self.pre = Tokenizer.from_str(config).pre_tokenizer
+        self.byte_of = {c: b for b, c in enumerate(byte_letters())}
+
+    def parts(self, text: str) -> list[str]:
+        """Those of letters alone, or with one mark behind, need no pattern."""
+        bare = text[1:] if text[:1] == " " else text
+        if bare.isalpha():
+            return [text]
+        if bare[:-1].isalpha() and bare[-1] in ",.!?;:":
+            return [text[:-1], bare[-1]]
+        return [bytes(map(self.byte_of.__getitem__, t)).decode() for t, _ in self.pre.pre_tokenize_str(text)]
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file."""
 
@@ -45,20 +65,22 @@ class Codec:
         model, split = held["model"], held["pre_tokenizer"]
         if model["type"] != "BPE" or split["type"] != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"] or held["normalizer"]:
             raise ValueError("a byte-level BPE vocabulary without normalizer and prefix space is needed")
-        self.pre = Tokenizer.from_str(config).pre_tokenizer
-        letters = byte_letters()
-        byte_of = {c: b for b, c in enumerate(letters)}
+        self.split = Splitter(config)
+        letters, byte_of = byte_letters(), self.split.byte_of
         vocab = model["vocab"]
-        self.first = {c: vocab[c] for c in letters}
+        if max(vocab.values()) > 0xFFFF:
+            raise ValueError("ids of more than 16 bits")
+        self.first = np.array([vocab[c] for c in letters], np.int64)
         self.merges: list[tuple[int, int, int]] = []
-        self.rank: dict[tuple[int, int], int] = {}
+        #: Rank of a pair of ids, by the number the two make together.
+        self.rank: dict[int, int] = {}
         born: dict[int, int] = {}
         for rank, (a, b) in enumerate(tuple(m.split(" ")) if isinstance(m, str) else m for m in model["merges"]):
             left, right, new = vocab[a], vocab[b], vocab[a + b]
             if max(born.get(left, -1), born.get(right, -1)) >= rank:
                 raise ValueError("a merge comes before one that makes its parts")
             born.setdefault(new, rank)
-            self.rank[left, right] = len(self.merges)
+            self.rank[left << 16 | right] = len(self.merges)
             self.merges.append((left, right, new))
         self.special = {t["content"]: t["id"] for t in held["added_tokens"]}
         self.bytes_of = [b""] * (1 + max([*vocab.values(), *self.special.values()]))
@@ -66,83 +88,109 @@ class Codec:
             self.bytes_of[i] = bytes(byte_of[c] for c in token)
         for token, i in self.special.items():
             self.bytes_of[i] = token.encode()
+        self.of_bytes = np.full((256, 256), -1, np.int64)  # ranks of pairs of single bytes
+        byte_with = {int(i): b for b, i in enumerate(self.first)}
+        for r, (left, right, _) in enumerate(self.merges):
+            if left in byte_with and right in byte_with:
+                self.of_bytes[byte_with[left], byte_with[right]] = r
         self.start: dict[str, bytes] = {}
         self.after: dict[str, bytes] = {}
         self.tokens: dict[str, bytes] = {}
-
-    def merge(self, words: list[str]) -> list[list[int]]:
-        """Symbols of each word (in byte letters) after all merges."""
-        sym: list[int] = []
-        for word in words:
-            sym.extend(map(self.first.__getitem__, word))
-            sym.append(-1)
-        n = len(sym)
-        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank, at = self.rank, {}
-        for p in range(n - 1):
-            r = rank.get((sym[p], sym[p + 1]))
-            if r is not None:
-                at.setdefault(r, []).append(p)
+        #: Chunks that came up in more than one slice; they outlive a cleared table.
+        self.again: set[str] = set()
+
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word after all merges, as little-endian unsigned 32-bit integers."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        flat = np.frombuffer(b"\n".join(words) + b"\n", np.uint8)
+        ends = np.cumsum(sizes) - 1
+        ids = self.first[flat]
+        ids[ends] = -1
+        n = len(ids)
+        # The index at the start: positions of every mergeable pair, by rank.
+        ranks = self.of_bytes[flat[:-1], flat[1:]]
+        ranks[ends[:-1]] = -1
+        ranks[ends - 1] = -1
+        places = np.flatnonzero(ranks >= 0)
+        places = places[np.argsort(ranks[places], kind="stable")]
+        active, cuts = np.unique(ranks[places], return_index=True)
+        at = dict(zip(active.tolist(), (x.tolist() for x in np.split(places, cuts[1:])))) if len(active) else {}
         active = list(at)
         heapq.heapify(active)
+        sym, nxt, prv = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        rank, merges = self.rank.get, self.merges
         while active:
             r = heapq.heappop(active)
-            left, right, new = self.merges[r]
-            for p in sorted(at.pop(r)):
+            left, right, new = merges[r]
+            positions = at.pop(r)
+            positions.sort()
+            for p in positions:
                 q = nxt[p]
                 if sym[p] != left or sym[q] != right:
                     continue
                 after, before = nxt[q], prv[p]
                 sym[p], sym[q] = new, -2
                 nxt[p], prv[after] = after, p
-                for a, x, y in ((before, sym[before] if before >= 0 else -1, new), (p, new, sym[after])):
-                    made = rank.get((x, y))
+                x = sym[before] if before >= 0 else -1
+                if x >= 0:
+                    made = rank(x << 16 | new)
                     if made is not None:
                         if made in at:
-                            at[made].append(a)
+                            at[made].append(before)
                         else:
-                            at[made] = [a]
+                            at[made] = [before]
                             heapq.heappush(active, made)
-        out, word = [], []
-        for s in sym:
-            if s >= 0:
-                word.append(s)
-            elif s == -1:
-                out.append(word)
-                word = []
-        return out
+                x = sym[after]
+                if x >= 0:
+                    made = rank(new << 16 | x)
+                    if made is not None:
+                        if made in at:
+                            at[made].append(p)
+                        else:
+                            at[made] = [p]
+                            heapq.heappush(active, made)
+        done = np.array(sym, np.int64)
+        done = done[done != -2]
+        stops = np.flatnonzero(done == -1)
+        little = done.astype("<u4").tobytes()
+        begins = np.concatenate(([0], stops[:-1] + 1))
+        return [little[4 * a : 4 * b] for a, b in zip(begins.tolist(), stops.tolist())]
 
     def _learn(self, chunks: Iterable[str], table: dict[str, bytes], lead: str) -> None:
         """Encode new chunks into `table`. What they consist of is merged together, over one index."""
-        parts = {c: [t for t, _ in self.pre.pre_tokenize_str(lead + c)] for c in chunks}
+        parts = {c: self.split.parts(lead + c) for c in chunks}
         fresh = list({t for ts in parts.values() for t in ts}.difference(self.tokens))
-        for token, ids in zip(fresh, self.merge(fresh)):
-            self.tokens[token] = np.array(ids, "<u4").tobytes()
+        for at in range(0, len(fresh), INDEXED):
+            some = fresh[at : at + INDEXED]
+            self.tokens.update(zip(some, self.merge([t.encode() for t in some])))
+        tokens = self.tokens
         for c, ts in parts.items():
-            table[c] = b"".join(map(self.tokens.__getitem__, ts))
+            table[c] = tokens[ts[0]] if len(ts) == 1 else b"".join(map(tokens.__getitem__, ts))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Token ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.tokens) + len(self.after) + len(self.start) > KEPT:
-            self.tokens.clear(), self.after.clear(), self.start.clear()
+        if len(self.after) > KEPT:
+            self.after = {c: self.after[c] for c in self.again if c in self.after}
+            if len(self.after) > KEPT // 2:
+                self.after.clear()
+            self.again.clear()
+        for table in (self.tokens, self.start):
+            if len(table) > KEPT:
+                table.clear()
         pieces = [self._pieces(text) for text in texts]
-        self._learn({p[0] for ps in pieces for p in ps if isinstance(p, list)}.difference(self.start), self.start, "")
-        new: set[str] = set()
-        for ps in pieces:
-            for p in ps:
-                if isinstance(p, list):
-                    new.update(p[1:])
-        self._learn(new.difference(self.after), self.after, " ")
+        chunks = [p for ps in pieces for p in ps if isinstance(p, list)]
+        self._learn({p[0] for p in chunks}.difference(self.start), self.start, "")
+        met: set[str] = set()
+        for p in chunks:
+            met.update(p[1:])
+        new = met.difference(self.after)
+        self.again.update(met.difference(new))
+        self._learn(new, self.after, " ")
+        start, after = self.start, self.after.__getitem__
         out = []
         for ps in pieces:
-            out.append(
-                b"".join(
-                    np.uint32(p).astype("<u4").tobytes()
-                    if isinstance(p, int)
-                    else self.start[p[0]] + b"".join(map(self.after.__getitem__, p[1:]))
-                    for p in ps
-                )
-            )
+            parts = [p.to_bytes(4, "little") if isinstance(p, int) else start[p[0]] + b"".join(map(after, p[1:])) for p in ps]
+            out.append(parts[0] if len(parts) == 1 else b"".join(parts))
         for table in (self.tokens, self.after, self.start):
             for c in [c for c in table if len(c) > KEPT_LENGTH]:
                 del table[c]
@@ -176,10 +224,13 @@ def _around(text: str, special: dict[str, int]) -> list[str]:
         at = found[0] + len(found[2])
 
 
+_ODD_SPACE = re.compile(r" (?!\S)")
+
+
 def chunks_of(text: str) -> list[str]:
     """The text cut at spaces before something else; those spaces are left out. Other spaces stay in a chunk."""
     parts = text.split(" ")
-    if all(p and not p[0].isspace() for p in parts[1:]):
+    if not _ODD_SPACE.search(text):
         return parts
     out, run = [], [parts[0]]
     for p in parts[1:]:

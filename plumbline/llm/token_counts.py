@@ -20,9 +20,8 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from tokenizers import Tokenizer
 
-from plumbline.llm.bpe import KEPT, KEPT_LENGTH, byte_letters, chunks_of, read_vocabulary
+from plumbline.llm.bpe import KEPT, KEPT_LENGTH, Splitter, byte_letters, chunks_of, read_vocabulary
 from plumbline.llm.common import arrow_map, packed, slices, whole
 
 
@@ -37,62 +36,75 @@ class Counter:
     """Counts pieces of texts under one vocabulary file."""
 
     def __init__(self, config: str):
-        self.pre = Tokenizer.from_str(config).pre_tokenizer
+        self.split = Splitter(config)
         special = {t["content"] for t in json.loads(config)["added_tokens"]}
         scores = zipf_scores({p: i for p, i in json.loads(config)["model"]["vocab"].items() if p not in special})
         if any(c not in scores for c in byte_letters()):
             raise ValueError("every byte must be a piece")
-        #: Pieces read backwards: letter -> node; the score of a piece stands under the empty string.
+        #: Pieces read backwards: byte -> node; the score of a piece stands under -1.
         self.back: dict = {}
         for piece, score in scores.items():
             node = self.back
             for c in reversed(piece):
-                node = node.setdefault(c, {})
-            node[""] = score
-        self.tables: tuple[dict[str, tuple[int, int]], dict[str, tuple[int, int]]] = ({}, {})
-
-    def terminal_counts(self, words: Iterable[str]) -> dict[str, int]:
-        """Pieces of each distinct word (in byte letters) on its best segmentation."""
-        out: dict[str, int] = {}
-        best, count, last = [0.0], [0], ""
+                node = node.setdefault(self.split.byte_of[c], {})
+            node[-1] = score
+        self.start: dict[str, tuple[int, int]] = {}
+        self.after: dict[str, tuple[int, int]] = {}
+        #: Chunks that came up in more than one slice; they outlive a cleared table.
+        self.again: set[str] = set()
+
+    def terminal_counts(self, words: Iterable[bytes]) -> dict[bytes, int]:
+        """Pieces of each distinct word on its best segmentation."""
+        out: dict[bytes, int] = {}
+        best, count, last, back = [0.0], [0], b"", self.back
         for word in sorted(words):
             shared, most = 0, min(len(word), len(last))
             while shared < most and word[shared] == last[shared]:
                 shared += 1
             del best[shared + 1 :], count[shared + 1 :]
             for d in range(shared + 1, len(word) + 1):
-                node, top, pieces = self.back, -math.inf, 0
+                node, top, pieces = back, -math.inf, 0
                 for j in range(d - 1, -1, -1):
                     node = node.get(word[j])
                     if node is None:
                         break
-                    score = node.get("")
-                    if score is not None and best[j] + score >= top:
-                        top, pieces = best[j] + score, count[j] + 1
+                    if -1 in node:
+                        score = best[j] + node[-1]
+                        if score >= top:
+                            top, pieces = score, count[j] + 1
                 best.append(top)
                 count.append(pieces)
             out[word], last = count[-1], word
         return out
 
-    def _learn(self, chunks: set[str], table: dict[str, tuple[int, int]], lead: str) -> None:
-        parts = {c: [t for t, _ in self.pre.pre_tokenize_str(lead + c)] for c in chunks}
+    def _learn(self, chunks: Iterable[str], table: dict[str, tuple[int, int]], lead: str) -> None:
+        parts = {c: [t.encode() for t in self.split.parts(lead + c)] for c in chunks}
         counts = self.terminal_counts({t for ts in parts.values() for t in ts})
         for c, ts in parts.items():
             table[c] = (sum(map(counts.__getitem__, ts)), len(ts))
 
     def count(self, texts: list[str]) -> list[tuple[int, int]]:
         """(tokens, pre-tokens) of each text."""
-        start, after = self.tables
-        if len(start) + len(after) > KEPT:
-            start.clear(), after.clear()
-        cut = [chunks_of(t) if t else [] for t in texts]
-        self._learn({c[0] for c in cut if c}.difference(start), start, "")
-        self._learn(set().union(*(c[1:] for c in cut)).difference(after), after, " ")
+        if len(self.after) > KEPT:
+            self.after = {c: self.after[c] for c in self.again if c in self.after}
+            if len(self.after) > KEPT // 2:
+                self.after.clear()
+            self.again.clear()
+        if len(self.start) > KEPT:
+            self.start.clear()
+        cut = [chunks_of(t) for t in texts]
+        self._learn({c[0] for c in cut}.difference(self.start), self.start, "")
+        met: set[str] = set()
+        for c in cut:
+            met.update(c[1:])
+        new = met.difference(self.after)
+        self.again.update(met.difference(new))
+        self._learn(new, self.after, " ")
         out = []
         for c in cut:
-            found = [start[c[0]], *map(after.__getitem__, c[1:])] if c else []
-            out.append((sum(n for n, _ in found), sum(n for _, n in found)))
-        for table in self.tables:
+            tokens, pretokens = zip(self.start[c[0]], *map(self.after.__getitem__, c[1:]))
+            out.append((sum(tokens), sum(pretokens)))
+        for table in (self.start, self.after):
             for c in [c for c in table if len(c) > KEPT_LENGTH]:
                 del table[c]
         return out
