@@ -15,7 +15,7 @@ The posterior of a language is in proportion to
 `und` is an outcome beside the languages: no letters, or a text that a uniform model explains better than every
 language's does by a margin. Rows with it are rejected.
 
-Defined results: a null text is empty and `und`; a null host is a host of its own; repeated rows each get a row; an
+Defined results: a null text is empty and `und`; a null host counts as an empty one; repeated rows each get a row; an
 empty table gives an empty result; without labelled rows every row is `und`. Other columns pass through.
 """
 
@@ -179,7 +179,7 @@ def host_priors(votes: DataFrame, languages: int) -> DataFrame:
 def posterior(evident: DataFrame, priors: DataFrame, languages: list[str]) -> DataFrame:
     """(row, language, confidence)."""
     size = len(languages)
-    joined = evident.join(priors, evident["host"].eqNullSafe(priors["host"]))
+    joined = evident.join(priors, "host")
 
     def counts(level: str) -> list[Column]:
         own = 0 if level == "a" else 1
@@ -207,6 +207,7 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
     if not model.languages:
         return rows.select("row", F.lit(UNDETERMINED).alias("language"), F.lit(0.0).alias("confidence"))
     scratch = Scratch(rows.sparkSession, "langid")
+    rows = rows.withColumn("host", F.coalesce("host", F.lit("")))
     evident = scratch.keep(evidence(rows, model), "evidence")
     return posterior(evident, host_priors(evident.select("host", "vote"), len(model.languages)), model.languages)
 
