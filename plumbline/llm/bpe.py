@@ -28,7 +28,7 @@ from plumbline.llm.common import arrow_map, packed, slices, whole
 
 MAX_VOCABULARY = 64 << 20
 #: Kept chunks of text at most, and the length in characters up to which one is kept.
-KEPT, KEPT_LENGTH = 250_000, 40
+KEPT, KEPT_LENGTH = 200_000, 40
 #: Pre-tokens that one index holds.
 INDEXED = 50_000
 
@@ -261,8 +261,11 @@ def read_vocabulary(path: str) -> str:
     return config
 
 
-def encode(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
-    """Rows of `docs` as struct `row`, with n_tokens and ids: binary, little-endian unsigned 32-bit integers."""
+def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """Rows of `docs` as struct `row`, with n_tokens and ids: binary, little-endian unsigned 32-bit integers.
+
+    With `decoded`, the text that the ids decode to comes beside them, from the same task.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,11 +274,14 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFram
             texts = batch.column("text")
             for a, b in slices(texts.cast(pa.binary()).to_pandas().map(len)):
                 ids = codec.encode(texts.slice(a, b - a).to_pylist())
-                n = pa.array([len(x) // 4 for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("row").slice(a, b - a), n, pa.array(ids, pa.binary())], ["row", "n_tokens", "ids"])
+                columns = {"row": batch.column("row").slice(a, b - a), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
+                if decoded:
+                    columns["decoded"] = pa.array(map(codec.decode, ids), pa.string())
+                yield pa.RecordBatch.from_arrays([*columns.values()], [*columns])
 
     rows = docs.select(packed(docs).alias("row"), whole(text_col).alias("text"))
-    return arrow_map(rows, of_batches, rows.select("row").schema.add("n_tokens", "long").add("ids", "binary"))
+    schema = rows.select("row").schema.add("n_tokens", "long").add("ids", "binary")
+    return arrow_map(rows, of_batches, schema.add("decoded", "string") if decoded else schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:

@@ -67,9 +67,9 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe_digest(docs: DataFrame) -> DataFrame:
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), VOCABULARY).select("row.doc_id", "n_tokens", "ids"), VOCABULARY)
+    coded = bpe.encode(docs.select("doc_id", "text"), VOCABULARY, decoded=True)
     return coded.select(
-        "doc_id",
+        "row.doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

@@ -260,7 +260,9 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
 
 def test_bpe(spark):
     reference = Tokenizer.from_file(queries.VOCABULARY)
-    out = bpe.decode(bpe.encode(frame(spark), queries.VOCABULARY), queries.VOCABULARY).select("row.doc_id", "n_tokens", "ids", "decoded")
+    columns = ["row.doc_id", "n_tokens", "ids", "decoded"]
+    out = bpe.decode(bpe.encode(frame(spark), queries.VOCABULARY), queries.VOCABULARY).select(columns)
+    assert got(bpe.encode(frame(spark), queries.VOCABULARY, decoded=True).select(columns)) == got(out)
     expected = Counter()
     for r in edge_rows():
         ids = reference.encode(text_of(r), add_special_tokens=False).ids
