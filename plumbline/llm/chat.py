@@ -87,14 +87,12 @@ def _climbs(nodes: DataFrame, scratch: Scratch) -> list[DataFrame]:
             return tables
         longest = reach
         above = now.select("tree", F.col("node").alias("up"), F.col("up").alias("far"), F.col("hops").alias("more"), F.col("gain").alias("rest"))
-        tables.append(
-            scratch.keep(
-                now.join(above, ["tree", "up"]).select(
-                    "tree", "node", F.col("far").alias("up"), (F.col("hops") + F.col("more")).alias("hops"), (F.col("gain") + F.col("rest")).alias("gain")
-                ),
-                "climb",
-            )
+        # Messages that took fewer replies are at their root and are not joined again.
+        full = F.col("hops") == 1 << (len(tables) - 1)
+        higher = now.where(full).join(above, ["tree", "up"]).select(
+            "tree", "node", F.col("far").alias("up"), (F.col("hops") + F.col("more")).alias("hops"), (F.col("gain") + F.col("rest")).alias("gain")
         )
+        tables.append(scratch.keep(now.where(~full).select("tree", "node", "up", "hops", "gain").unionByName(higher), "climb"))
 
 
 def paths(messages: DataFrame, scratch: Scratch, branches: int = 1) -> DataFrame:

@@ -63,13 +63,14 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        self.paths: dict[int, str] = {}
+        self.kept, self.paths = 0, dict[int, tuple[DataFrame, str]]()
 
     def keep(self, df: DataFrame, name: str, collect: bool = False) -> DataFrame:
-        path = f"{self.root}/{name}-{len(self.paths)}"
+        path = f"{self.root}/{name}-{self.kept}"
+        self.kept += 1
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
+        self.paths[id(out)] = out, path  # the table is held, so that no other gets its id
         if collect:
             del df
             gc.collect()
@@ -78,7 +79,7 @@ class Scratch:
 
     def drop(self, *tables: DataFrame) -> None:
         for out in tables:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(out)))
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(out))[1])
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
