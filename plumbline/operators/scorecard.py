@@ -180,9 +180,10 @@ def recurrence(exceptions: DataFrame, within_days: int = 30) -> DataFrame:
     )
     per_day = counted.groupBy("rule_id", "root_cause", "day").agg(F.sum("opened").alias("opened"))
     before = F.lag("day").over(W.partitionBy("rule_id", "root_cause").orderBy("day"))
+    known = F.col("root_cause").isNotNull()  # unknown causes are not one cause
     first_repeats = F.coalesce(F.date_diff("day", before) <= within_days, F.lit(False)).cast("bigint")
     repeats = (
-        per_day.select("rule_id", "day", (F.col("opened") - 1 + first_repeats).alias("repeats"))
+        per_day.select("rule_id", "day", F.when(known, F.col("opened") - 1 + first_repeats).otherwise(0).alias("repeats"))
         .groupBy("rule_id", month_start(F.col("day")).alias("month_start"))
         .agg(F.sum("repeats").alias("repeats"))
     )

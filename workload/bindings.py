@@ -151,8 +151,9 @@ def customers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def gl_controls(spark: SparkSession, sf: str) -> DataFrame:
-    return sales_orders(spark, sf, f"o_totalprice < {SOURCE_CEILING}").groupBy(
+def gl_controls(spark: SparkSession, sf: str, drift: bool = False) -> DataFrame:
+    """Controls over all orders; with `drift` the source has not booked the largest, for reconciliations to find."""
+    return sales_orders(spark, sf, f"o_totalprice < {SOURCE_CEILING}" if drift else "true").groupBy(
         F.col("order_date").alias("control_date"), F.col("category").alias("source_system"), "currency"
     ).agg(F.count("*").alias("order_count"), F.sum("order_amount").cast(MONEY).alias("order_amount"))
 
@@ -225,8 +226,8 @@ def raw_customers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def raw_controls(spark: SparkSession, sf: str) -> DataFrame:
-    return gl_controls(spark, sf).select(
+def raw_controls(spark: SparkSession, sf: str, drift: bool = False) -> DataFrame:
+    return gl_controls(spark, sf, drift).select(
         F.date_format("control_date", "d-M-yyyy").alias("control_date"),
         F.concat(F.lower("source_system"), F.lit(" ")).alias("source_system"),
         F.concat(F.lit(" "), F.col("order_count").cast("string")).alias("order_count"),

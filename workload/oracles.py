@@ -50,6 +50,11 @@ gl AS (
   SELECT order_date AS control_date, category AS source_system, currency, count(*) AS order_count,
          CAST(sum(cents) AS BIGINT) AS cents
   FROM so WHERE cents < {b.SOURCE_CEILING} * 100 GROUP BY ALL)"""
+ALL_CONTROLS = """
+gl AS (
+  SELECT order_date AS control_date, category AS source_system, currency, count(*) AS order_count,
+         CAST(sum(cents) AS BIGINT) AS cents
+  FROM so GROUP BY ALL)"""
 KEYS = """
 dc AS (SELECT row_number() OVER (ORDER BY customer_id) AS customer_key, * EXCLUDE (customer_key) FROM cu),
 dg AS (SELECT row_number() OVER (ORDER BY category) AS category_key, category AS category_code
@@ -72,7 +77,7 @@ SELECT order_id, customer_id, order_date, {money('cents')} AS order_amount, curr
 ORACLES["clean_customers"] = f"""WITH {CUSTOMERS}
 SELECT customer_id, customer_name, segment, status, created_date FROM cu"""
 
-ORACLES["clean_controls"] = f"""WITH {SALES}, {CONTROLS}
+ORACLES["clean_controls"] = f"""WITH {SALES}, {ALL_CONTROLS}
 SELECT control_date, source_system, order_count, {money('cents')} AS order_amount, currency FROM gl"""
 
 ORACLES["accepted_orders"] = f"""WITH {SALES}
@@ -110,7 +115,7 @@ SELECT row_number() OVER (ORDER BY order_id) AS order_key, order_id, dc.customer
        currency AS currency_code
 FROM so JOIN dc USING (customer_id) JOIN dg ON category = category_code"""
 
-ORACLES["fact_control"] = f"""WITH {SALES}, {CONTROLS}
+ORACLES["fact_control"] = f"""WITH {SALES}, {ALL_CONTROLS}
 SELECT row_number() OVER (ORDER BY control_date, source_system, currency) AS control_key,
        {day_key('control_date')} AS control_date_key, source_system, order_count,
        {money('cents')} AS order_amount, currency AS currency_code

@@ -129,7 +129,7 @@ def cohort_month(spark, sf):
 
 
 def _recon_daily(spark, sf):
-    controls = star.control_facts(b.gl_controls(spark, sf))
+    controls = star.control_facts(b.gl_controls(spark, sf, drift=True))
     return recon.daily(b.curated_fact(spark, sf), controls, star.calendar(b.order_days(spark, sf)))
 
 
@@ -155,7 +155,7 @@ def _checks(spark, sf):
     raw = {
         "customers": b.raw_customers(spark, sf),
         "sales_orders": b.raw_orders(spark, sf, faulty=True),
-        "gl_controls": b.raw_controls(spark, sf),
+        "gl_controls": b.raw_controls(spark, sf, drift=True),
     }
     # Parsed once and written, as a publication run does; the suite then reads the columns it needs.
     parsed = {name: files.materialize(cleaning.parse(df, name), f"parsed-{name}") for name, df in raw.items()}
@@ -208,11 +208,6 @@ def range_and_domains(spark, sf):
     )
 
 
-@register
-def raw_file_ages(spark, sf):
-    return files.raw_file_ages(spark, sf, "2027-01-01", "*.parquet")
-
-
 # --- profiles, rules, incidents -------------------------------------------------------------------
 
 
