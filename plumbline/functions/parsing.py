@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, functions as F
 
 from plumbline.functions.text import strip
@@ -45,3 +47,8 @@ def date_key(d: Column) -> Column:
 def month_start(d: Column) -> Column:
     """First day of the month (C14)."""
     return F.trunc(d, "MM")
+
+
+def utc_stamp(moment: datetime) -> Column:
+    """A moment as a timestamp; one without a zone is in UTC, whatever zone the session has."""
+    return F.lit(moment.isoformat() + ("" if moment.tzinfo else "+00:00")).cast("timestamp")

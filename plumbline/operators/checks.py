@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from plumbline.functions.parsing import utc_stamp
 from plumbline.functions.text import is_blank
 from plumbline.sources.contracts import CLEAN_COLUMNS, Policy, missing_columns, required_columns
 
@@ -220,7 +221,7 @@ def check_suite(
     outcomes = wide.select(F.inline(F.array(*_measure_outcomes(raw_columns, policy))))
     if file_ages is not None:
         outcomes = outcomes.unionByName(freshness(file_ages, policy))
-    return outcomes.withColumn("evaluated_at_utc", F.lit(evaluated_at.isoformat()).cast("timestamp"))
+    return outcomes.withColumn("evaluated_at_utc", utc_stamp(evaluated_at))
 
 
 def gate(checks: DataFrame) -> None:

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from plumbline.functions.parsing import utc_stamp
 from plumbline.functions.numeric import ratio_half_even
 from plumbline.functions.text import identity, is_blank
 
@@ -21,7 +22,7 @@ def _finish(measured: DataFrame, dataset: str, evaluated_at: datetime) -> DataFr
         "distinct_count",
         F.coalesce("min_value", F.lit("")).alias("min_value"),
         F.coalesce("max_value", F.lit("")).alias("max_value"),
-        F.lit(evaluated_at.isoformat()).cast("timestamp").alias("evaluated_at_utc"),
+        utc_stamp(evaluated_at).alias("evaluated_at_utc"),
     )
 
 

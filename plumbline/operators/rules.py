@@ -9,6 +9,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from plumbline.functions.parsing import utc_stamp
 from plumbline.functions.frames import literal_rows
 from plumbline.functions.numeric import ratio_half_even
 from plumbline.operators.checks import orphan_rows
@@ -124,7 +125,7 @@ def evaluate_rules(
         "evaluated_rows",
         "failed_rows",
         F.coalesce(rate.cast("double"), F.lit(100.0)).alias("failed_rate_pct"),
-        F.lit(evaluated_at.isoformat()).cast("timestamp").alias("evaluated_at_utc"),
+        utc_stamp(evaluated_at).alias("evaluated_at_utc"),
     )
 
 

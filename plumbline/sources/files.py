@@ -11,8 +11,9 @@ from plumbline.sources.contracts import CLEAN_COLUMNS, ContractError, missing_co
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header as it is, every column text."""
-    return spark.read.option("header", True).option("escape", '"').csv(path)
+    """CSV with a header as it is, every column text. A quoted value may hold line breaks, so a file is read by one task:
+    a large extract comes as a folder of files."""
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 
 def fill_missing(raw: DataFrame, dataset: str) -> DataFrame:

@@ -4,7 +4,9 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from plumbline.functions.parsing import utc_stamp
 from plumbline.operators import cleaning
 from plumbline.sources import files
 from plumbline.sources.contracts import ContractError
@@ -109,3 +111,21 @@ def test_file_ages_include_empty_files(spark, tmp_path):
         (tmp_path / name).write_text(content)
         os.utime(tmp_path / name, (stamp, stamp))
     assert rows(files.raw_file_ages(spark, str(tmp_path), "2026-09-05")) == [("a.csv", 4), ("b.csv", 4)]
+
+
+def test_line_breaks_and_quotes_survive_an_extract(spark, tmp_path):
+    values = ["Acme\nRetail", 'says "hi", twice', "a,b", "plain", "two\r\nlines", "back\\slash"]
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "id string, name string")
+    files.write_extract(df, str(tmp_path / "x.csv"))
+    got = {r.id: r.name for r in files.read_raw(spark, str(tmp_path / "x.csv")).select("id", F.col("name").alias("name")).toLocalIterator()}
+    assert {k: v.replace("\r\n", "\n") for k, v in got.items()} == {str(i): v.replace("\r\n", "\n") for i, v in enumerate(values)}
+
+
+def test_stamps_do_not_follow_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = spark.range(1).select(F.unix_timestamp(utc_stamp(dt.datetime(2026, 9, 5, 6))).alias("s")).first().s
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == int(dt.datetime(2026, 9, 5, 6, tzinfo=dt.timezone.utc).timestamp())

@@ -106,6 +106,11 @@ def test_recurrence(spark):
     ]
 
 
+def test_unknown_causes_do_not_recur(spark):
+    day = lambda n: ("r", None, "x", "LOW", "o", ts(2026, 1, n), None, ts(2026, 1, n + 1))
+    assert rows(scorecard.recurrence(exceptions(spark, day(1), day(2)))) == [("r", d(2026, 1, 1), 0, 2, D("0.00"))]
+
+
 def test_exception_register(spark):
     incident = ("I1", "R", "d", "HIGH", "o", "OPEN", 3, ts(2026, 1, 1, 5), "k1")
     incidents = spark.createDataFrame([incident, ("I2", *incident[1:8], "k2")], INCIDENT_SCHEMA)
