@@ -268,7 +268,7 @@ SELECT count(*) AS sales_order_count, {money('sum(cents)')} AS sales_revenue_usd
        (SELECT {percent("count(*) FILTER (status = 'PASS')", 'count(*)')} FROM results) AS data_quality_pass_rate_pct,
        (SELECT count(*) FROM results WHERE status IN ('FAIL', 'WARN')) AS open_quality_exceptions,
        (SELECT count(*) FROM r WHERE s_n <> c_n OR s_c <> c_c) AS reconciliation_exceptions
-FROM so WHERE cents >= {b.CURATED_FLOOR} * 100"""
+FROM so"""
 
 ORACLES["duplicate_rows"] = """
 SELECT 'lineitem' AS dataset, sum(n - 1)::BIGINT AS excess_rows
@@ -347,15 +347,17 @@ ORACLES["column_profile_documents"] = f"WITH {LABELLED}, " + _profile(
 )
 
 _STALE = "SELECT count(*) AS n, CASE WHEN date_diff('day', max(CAST({c} AS DATE)), DATE '{day}') > 7 THEN count(*) ELSE 0 END AS failed FROM {t}"
+_FAILED = "SELECT count(*) AS n, count(*) FILTER ({c}) AS failed FROM {t}"
 _COUNTS = {
-    "SO_REQUIRED_CUSTOMER": "SELECT count(*) AS n, count(*) FILTER (customer_id IS NULL OR trim(customer_id) = '') AS failed FROM so",
-    "SO_POSITIVE_AMOUNT": "SELECT count(*) AS n, count(*) FILTER (NOT (cents > 0 AND cents <= 45000000)) AS failed FROM so",
-    "SO_CONFORMED_CATEGORY": "SELECT count(*) AS n, count(*) FILTER (category NOT IN ('1_URGENT', '2_HIGH', '3_MEDIUM')) AS failed FROM so",
-    "SO_CONFORMED_CURRENCY": "SELECT count(*) AS n, count(*) FILTER (currency <> 'F') AS failed FROM so",
-    "SO_CUSTOMER_REFERENCE": "SELECT count(*) AS n, count(*) FILTER (customer_key NOT IN (SELECT c_custkey FROM customer)) AS failed FROM so",
-    "SO_LINE_REFERENCE": "SELECT count(*) AS n, count(*) FILTER (o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) AS failed FROM so",
-    "SO_FRESHNESS": _STALE.format(c="order_date", t="so", day=b.DAY),
-    "EV_FRESHNESS": _STALE.format(c="ts", t="events", day=b.DAY),
+    "ORDER_BIG_TICKET": _FAILED.format(t="so", c="cents >= 30000000 AND category = '5_LOW'"),
+    "ORDER_SETTLED": _FAILED.format(t="so", c="currency = 'P'"),
+    "ORDER_BUYER": _FAILED.format(t="so", c="customer_key NOT IN (SELECT c_custkey FROM customer)"),
+    "ORDER_LINES": _FAILED.format(t="so", c="o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)"),
+    "LINE_DISCOUNT": _FAILED.format(t="lineitem", c="round(l_quantity * 100) < 500 AND round(l_discount * 100) > 8"),
+    "LINE_ORDER": _FAILED.format(t="lineitem", c="l_orderkey NOT IN (SELECT o_orderkey FROM orders)"),
+    "LINE_SHIPPED": _STALE.format(c="l_shipdate", t="lineitem", day=b.DAY).replace("> 7", "> 30"),
+    "EVENT_PURCHASE_VALUE": _FAILED.format(t="events", c="event_type = 'purchase' AND value < 1"),
+    "EVENT_RECENT": _STALE.format(c="ts", t="events", day=b.DAY),
 }
 RESULTS = f"{SALES}, results AS (" + " UNION ALL ".join(
     f"""SELECT '{r['rule_id']}' AS rule_id, '{r['dataset']}' AS dataset, '{r['severity']}' AS severity,

@@ -181,7 +181,7 @@ def recon_check_exceptions(spark, sf):
 
 @register
 def enterprise_summary(spark, sf):
-    return kpi.enterprise_summary(b.curated_fact(spark, sf), _checks(spark, sf), _recon_daily(spark, sf))
+    return kpi.enterprise_summary(b.fact(spark, sf), _checks(spark, sf), _recon_daily(spark, sf))
 
 
 @register
