@@ -8,15 +8,17 @@ from pyspark.sql import Column, functions as F
 _WHOLE = "decimal(38,0)"
 
 
-def _units(c: Column) -> Column:
-    """Ten-thousandths as a whole number: exact for counts, cents and four-digit scores."""
-    return (c.cast("decimal(30,4)") * F.lit(10_000)).cast(_WHOLE)
+def _units(c: Column, scale: int) -> Column:
+    """Whole number of units of 10**-scale; a value with more decimals is an error, not rounded."""
+    kept = c.cast(f"decimal(30,{scale})")
+    exact = F.when(c.isNull() | (kept == c), kept).otherwise(F.raise_error(F.lit(f"more than {scale} decimals in a ratio")))
+    return (exact * F.lit(10**scale)).cast(_WHOLE)
 
 
-def _whole_division(num: Column, den: Column, factor: int) -> tuple[Column, Column, Column]:
+def _whole_division(num: Column, den: Column, factor: int, scale: int) -> tuple[Column, Column, Column]:
     """|num| * factor and |den| as whole numbers (den NULL when zero), and their whole quotient."""
-    top = F.abs(_units(num)) * F.lit(factor)
-    bottom = F.nullif(F.abs(_units(den)), F.lit(0).cast(_WHOLE))
+    top = F.abs(_units(num, scale)) * F.lit(factor)
+    bottom = F.nullif(F.abs(_units(den, scale)), F.lit(0).cast(_WHOLE))
     return top, bottom, F.call_function("div", top, bottom)
 
 
@@ -26,18 +28,21 @@ def _signed(magnitude: Column, num: Column, den: Column, digits: int) -> Column:
     return F.when((num < 0) != (den < 0), -value).otherwise(value)
 
 
-def ratio(num: Column, den: Column, digits: int = 2, times: int = 1) -> Column:
-    """times * num / den rounded half away from zero; NULL when den is 0 or either side is NULL."""
+def ratio(num: Column, den: Column, digits: int = 2, times: int = 1, scale: int = 4) -> Column:
+    """times * num / den rounded half away from zero; NULL when den is 0 or either side is NULL.
+
+    `scale` is the most decimals either side has: four do for counts, cents and four-digit scores.
+    """
     factor = times * 10**digits
-    top, bottom, _ = _whole_division(num, den, factor)
+    top, bottom, _ = _whole_division(num, den, factor, scale)
     nearest = F.call_function("div", top * F.lit(2) + bottom, bottom * F.lit(2))
     return _signed(nearest, num, den, digits)
 
 
-def ratio_half_even(num: Column, den: Column, digits: int = 4, times: int = 100) -> Column:
+def ratio_half_even(num: Column, den: Column, digits: int = 4, times: int = 100, scale: int = 4) -> Column:
     """As `ratio`, but a tie goes to the even neighbour."""
     factor = times * 10**digits
-    top, bottom, below = _whole_division(num, den, factor)
+    top, bottom, below = _whole_division(num, den, factor, scale)
     twice_rest = (top - below.cast(_WHOLE) * bottom) * F.lit(2)
     up = (twice_rest > bottom) | ((twice_rest == bottom) & (below % 2 == 1))
     return _signed(below + F.when(up, 1).otherwise(0), num, den, digits)

@@ -185,11 +185,14 @@ def _measure_outcomes(raw_columns: dict[str, list[str]], policy: Policy) -> list
 
 
 def freshness(file_ages: DataFrame, policy: Policy) -> DataFrame:
-    """FRESH_RAW_EXTRACTS over one row per raw file (Q7). No files at all fail."""
+    """FRESH_RAW_EXTRACTS over one row per raw file (Q7). No files at all fail.
+
+    An extract that is a folder of files counts with its oldest file.
+    """
     oldest = F.max("age_days")
     quoted = F.regexp_replace(F.to_json(F.array("file_name")), r"\]$", "")
     pair = F.concat(quoted, F.lit(", "), F.col("age_days").cast("string"), F.lit("]"))
-    # One entry per raw file; the listing of the files has passed through the driver already.
+    # One entry per extract, however many files it has.
     listing = F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list(pair)), ", "), F.lit("]"))
     outcome = _outcome(
         "FRESH_RAW_EXTRACTS",
@@ -198,7 +201,8 @@ def freshness(file_ages: DataFrame, policy: Policy) -> DataFrame:
         F.lit(f"<= {policy.max_age_days} days"),
         listing,
     )
-    return file_ages.agg(F.array(outcome).alias("outcomes")).select(F.inline("outcomes"))
+    extracts = file_ages.groupBy(F.substring_index("file_name", "/", 1).alias("file_name")).agg(oldest.alias("age_days"))
+    return extracts.agg(F.array(outcome).alias("outcomes")).select(F.inline("outcomes"))
 
 
 def check_suite(

@@ -16,9 +16,11 @@ def add_dense_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     Rows are range-partitioned and sorted, each takes its place within its partition, and the partitions'
     row counts give where each one starts. Only those counts, one row per partition, meet in one task.
     Rows equal in every ordering column are spread by a random tie-break, so copies cannot pile up in one
-    partition. The ranged rows are written once: the range bounds are sampled, so both uses have to see
-    the same ones.
+    partition. The input is written first: sampling the range bounds reads it a second time, and the
+    tie-break of a task that runs again has to fall the same. The ranged rows are written too, as both
+    uses have to see the same bounds.
     """
+    df = materialize(df, f"{key}-input")
     ranged = (
         df.withColumn("_tie", F.rand(17))
         .repartitionByRange(*order_by, "_tie")

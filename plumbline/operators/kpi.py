@@ -20,8 +20,7 @@ def daily_sales(fact: DataFrame, dates: DataFrame) -> DataFrame:
         F.count("order_amount").alias("_amounts"),
         F.count_distinct("customer_key").alias("active_customers"),
     )
-    # At most one row per calendar day on either side.
-    day = F.broadcast(dates.select("date_key", "calendar_date"))
+    day = dates.select("date_key", "calendar_date")
     return per_day.join(day, F.col("order_date_key") == F.col("date_key")).select(
         "calendar_date",
         "order_count",
@@ -115,7 +114,7 @@ def cohort_month(fact: DataFrame, customers: DataFrame, dates: DataFrame) -> Dat
             F.sum("_orders").alias("order_count"),
             F.sum("_revenue").alias("revenue_usd"),
         )
-        .join(F.broadcast(months), "_yyyymm")  # one row per calendar month
+        .join(months, "_yyyymm")
         .select("cohort_month", "order_month", "active_customers", "order_count", "revenue_usd")
     )
 

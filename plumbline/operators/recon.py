@@ -43,8 +43,7 @@ def daily(fact: DataFrame, controls: DataFrame, dates: DataFrame, tolerance: Dec
     count_variance = F.col("source_order_count") - F.col("curated_order_count")
     amount_variance = F.col("source_order_amount") - F.col("curated_order_amount")
     agrees = (count_variance == 0) & (F.abs(amount_variance) <= F.lit(tolerance))
-    # At most one row per calendar day.
-    day = F.broadcast(dates.select("date_key", "calendar_date"))
+    day = dates.select("date_key", "calendar_date")
     return filled.join(day, "date_key").select(
         "calendar_date",
         "currency_code",

@@ -5,6 +5,7 @@ Dimension scores share one shape: product, dimension, element, passed, assessed,
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 from decimal import Decimal
 
@@ -16,12 +17,13 @@ from plumbline.functions.text import identity, is_blank
 from plumbline.operators.checks import duplicate_rows
 
 
-
 # --- dimension scores -----------------------------------------------------------------------------
 
 
-def _scores(df: DataFrame, product: str, dimension: str, passed: dict[str, Column], assessed: Column) -> DataFrame:
-    """One score per element, all from one aggregation."""
+def _scores(
+    df: DataFrame, product: str, passed: list[tuple[str, str, Column]], assessed: Column, by: Sequence[str]
+) -> DataFrame:
+    """One score per element and group of `by`, all from one aggregation."""
     rows = [
         F.struct(
             F.lit(product).alias("product"),
@@ -30,31 +32,50 @@ def _scores(df: DataFrame, product: str, dimension: str, passed: dict[str, Colum
             count.cast("bigint").alias("passed"),
             assessed.cast("bigint").alias("assessed"),
         )
-        for element, count in passed.items()
+        for dimension, element, count in passed
     ]
-    scored = df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
-    return scored.withColumn("rate_pct", percent(F.col("passed"), F.col("assessed")))
+    scored = df.groupBy(*by).agg(F.array(*rows).alias("rows")).select(*by, F.inline("rows"))
+    rated = scored.withColumn("rate_pct", percent(F.col("passed"), F.col("assessed")))
+    return rated.select("product", "dimension", "element", "passed", "assessed", "rate_pct", *by)
+
+
+def _text_columns(df: DataFrame) -> set[str]:
+    return {f.name for f in df.schema if f.dataType.typeName() == "string"}
 
 
-def completeness(df: DataFrame, product: str, columns: list[str]) -> DataFrame:
+def cell_scores(
+    df: DataFrame,
+    product: str,
+    complete: Sequence[str] = (),
+    valid: dict[str, Column] | None = None,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Completeness of the columns `complete` and validity by the conditions `valid`, in one scan (K2, K3).
+
+    `by` names attributes of the rows, such as owner, severity or month, that the scores then carry.
+    """
+    text = _text_columns(df)
+    filled = [("completeness", c, F.count_if(~is_blank(F.col(c), c in text))) for c in complete]
+    met = [("validity", name, F.count_if(F.coalesce(c, F.lit(False)))) for name, c in (valid or {}).items()]
+    return _scores(df, product, filled + met, F.count("*"), by)
+
+
+def completeness(df: DataFrame, product: str, columns: list[str], by: Sequence[str] = ()) -> DataFrame:
     """Populated of expected values per column (K2)."""
-    text = {f.name for f in df.schema if f.dataType.typeName() == "string"}
-    passed = {c: F.count_if(~is_blank(F.col(c), c in text)) for c in columns}
-    return _scores(df, product, "completeness", passed, F.count("*"))
+    return cell_scores(df, product, complete=columns, by=by)
 
 
-def validity(df: DataFrame, product: str, conditions: dict[str, Column]) -> DataFrame:
+def validity(df: DataFrame, product: str, conditions: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
     """Values that meet their domain, range or pattern, of all values assessed (K3); NULL is not valid."""
-    passed = {name: F.count_if(F.coalesce(condition, F.lit(False))) for name, condition in conditions.items()}
-    return _scores(df, product, "validity", passed, F.count("*"))
+    return cell_scores(df, product, valid=conditions, by=by)
 
 
-def uniqueness(df: DataFrame, product: str, keys: list[str]) -> DataFrame:
+def uniqueness(df: DataFrame, product: str, keys: list[str], by: Sequence[str] = ()) -> DataFrame:
     """One minus duplicate rows over keys assessed (K4)."""
-    text = {f.name for f in df.schema if f.dataType.typeName() == "string"}
+    text = _text_columns(df)
     parts = [identity(F.col(k)).alias(k) if k in text else F.col(k) for k in keys]
-    passed = {", ".join(keys): F.count("*") - duplicate_rows(*parts)}
-    return _scores(df, product, "uniqueness", passed, F.count("*"))
+    passed = [("uniqueness", ", ".join(keys), F.count("*") - duplicate_rows(*parts))]
+    return _scores(df, product, passed, F.count("*"), by)
 
 
 def overall_score(scores: DataFrame, weights: dict[str, Decimal | int]) -> DataFrame:
@@ -72,13 +93,14 @@ def overall_score(scores: DataFrame, weights: dict[str, Decimal | int]) -> DataF
         "product", percent(F.col("passed"), F.col("assessed")).alias("score"), weight.alias("weight")
     ).where("weight IS NOT NULL AND score IS NOT NULL")
     return weighed.groupBy("product").agg(
-        ratio(F.sum(F.col("score") * F.col("weight")), F.sum("weight")).alias("overall_score_pct")
+        ratio(F.sum(F.col("score") * F.col("weight")), F.sum("weight"), scale=6).alias("overall_score_pct")
     )
 
 
-def scorecard(scores: DataFrame, by: list[str], totals: bool = False) -> DataFrame:
-    """Scores pooled by any attributes they carry, with sub-totals on request."""
-    grouped = scores.rollup(*by) if totals else scores.groupBy(*by)
+def scorecard(scores: DataFrame, by: list[str], totals: bool = False, where: Column | str = "true") -> DataFrame:
+    """Scores filtered and pooled by any attributes they carry, with sub-totals on request."""
+    chosen = scores.where(where)
+    grouped = chosen.rollup(*by) if totals else chosen.groupBy(*by)
     pooled = grouped.agg(F.sum("passed").alias("passed"), F.sum("assessed").alias("assessed"))
     return pooled.withColumn("rate_pct", percent(F.col("passed"), F.col("assessed")))
 
@@ -132,7 +154,8 @@ def coverage(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 
 # --- exceptions -----------------------------------------------------------------------------------
-# Exceptions: exception_id, rule_id, root_cause, domain, severity, owner, opened_at, assigned_at, resolved_at.
+# Exceptions: exception_id, rule_id, root_cause, domain, severity, owner, opened_at, assigned_at, resolved_at,
+# and disposition once a steward has decided on them.
 
 
 def one_business_day_after(moment: Column) -> Column:
@@ -142,13 +165,38 @@ def one_business_day_after(moment: Column) -> Column:
     return moment + F.make_dt_interval(days)
 
 
-def assignment_sla(exceptions: DataFrame) -> DataFrame:
-    """Critical exceptions assigned within one business day, per domain and month raised (K8)."""
-    in_time = F.col("assigned_at") <= one_business_day_after(F.col("opened_at"))
-    counted = (
-        exceptions.where(F.col("severity") == "CRITICAL")
-        .groupBy("domain", month_start(F.col("opened_at")).alias("month_start"))
-        .agg(F.count_if(in_time).alias("assigned_in_time"), F.count("*").alias("raised"))
+def next_business_days(days: DataFrame, holidays: DataFrame) -> DataFrame:
+    """(day, next_day): the weekday after each `day` that is not among `holidays`, a one-column frame.
+
+    All steps are over calendar days, so the window is bounded by the calendar.
+    """
+    off = holidays.toDF("day").distinct()
+    closed = off.agg(F.count("*").alias("n"))
+    # Past the last day there is a working day within the holidays and a weekend for each of them.
+    span = days.agg(F.min("day").alias("low"), F.max("day").alias("high")).where("low IS NOT NULL").join(closed, F.lit(True))
+    reach = F.date_add("high", (F.col("n") * 3 + 5).cast("int"))
+    dates = span.select(F.explode(F.sequence("low", reach)).alias("day"))
+    open_days = dates.where(F.weekday("day") < 5).join(off, "day", "left_anti").withColumn("_open", F.col("day"))
+    after = W.orderBy("day").rowsBetween(1, W.unboundedFollowing)
+    following = dates.join(open_days, "day", "left").select(
+        "day", F.first("_open", ignorenulls=True).over(after).alias("next_day")
+    )
+    return days.select("day").distinct().join(following, "day")
+
+
+def assignment_sla(exceptions: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
+    """Critical exceptions assigned within one business day, per domain and month raised (K8).
+
+    Business days are Monday to Friday, but for the `holidays`, a frame of one date column.
+    """
+    critical = exceptions.where(F.col("severity") == "CRITICAL")
+    due = one_business_day_after(F.col("opened_at"))
+    if holidays is not None:
+        critical = critical.withColumn("day", F.to_date("opened_at"))
+        critical = critical.join(next_business_days(critical.select("day"), holidays), "day", "left")
+        due = F.col("opened_at") + F.make_dt_interval(F.date_diff("next_day", "day"))
+    counted = critical.groupBy("domain", month_start(F.col("opened_at")).alias("month_start")).agg(
+        F.count_if(F.col("assigned_at") <= due).alias("assigned_in_time"), F.count("*").alias("raised")
     )
     return counted.withColumn("sla_pct", percent(F.col("assigned_in_time"), F.col("raised")))
 
@@ -241,9 +289,11 @@ def variance_rag(variance: Column, tolerance: Column) -> Column:
 
 
 def product_status(rated: DataFrame, exceptions: DataFrame) -> DataFrame:
-    """`rated` (product, rag, ...) where an unresolved critical exception turns GREEN to AMBER."""
+    """`rated` (product, rag, ...) where an unresolved critical exception turns GREEN to AMBER until its
+    disposition is recorded (K11)."""
+    undecided = F.col("resolved_at").isNull() & F.col("disposition").isNull()
     critical = (
-        exceptions.where((F.col("severity") == "CRITICAL") & F.col("resolved_at").isNull())
+        exceptions.where((F.col("severity") == "CRITICAL") & undecided)
         .select(F.col("domain").alias("product"))
         .distinct()
         .withColumn("_critical", F.lit(True))
@@ -305,17 +355,25 @@ def schema_contract(df: DataFrame, contract: dict[str, tuple[str, bool]]) -> Dat
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
-def masked_samples(df: DataFrame, conditions: dict[str, str], key: str, size: int) -> DataFrame:
-    """Hashed keys of up to `size` failing rows per rule, as evidence without raw identifiers.
+#: Parts each rule's failing rows are split into before their samples are merged.
+_SAMPLE_PARTS = 256
+
 
-    The sample is the smallest hashes, so it is the same on every run. Each task keeps its own smallest
-    before the shuffle.
+def masked_samples(df: DataFrame, conditions: dict[str, str], key: str, size: int, secret: str) -> DataFrame:
+    """Keyed digests of up to `size` failing rows per rule, as evidence without raw identifiers.
+
+    Without `secret`, which is written nowhere, no one can recompute a reference. The sample is the smallest
+    digests, so it is the same on every run. They are taken in parts of each rule first, so that a rule
+    nearly every row fails is never one task's work, whatever the size.
     """
     failing = F.filter(
         F.array(*[F.when(~F.expr(c), F.lit(rule)) for rule, c in conditions.items()]), lambda r: r.isNotNull()
     )
+    inner = F.sha2(F.concat(F.lit(secret), F.col(key).cast("string")), 256)
     masked = df.select(
-        F.explode(failing).alias("rule_id"), F.sha2(F.col(key).cast("string"), 256).alias("record_reference")
-    )
+        F.explode(failing).alias("rule_id"), F.sha2(F.concat(F.lit(secret), inner), 256).alias("record_reference")
+    ).withColumn("_part", F.pmod(F.xxhash64("record_reference"), F.lit(_SAMPLE_PARTS)))
+    in_part = F.row_number().over(W.partitionBy("rule_id", "_part").orderBy("record_reference"))
+    least = masked.withColumn("_no", in_part).where(F.col("_no") <= size)
     place = F.row_number().over(W.partitionBy("rule_id").orderBy("record_reference"))
-    return masked.withColumn("sample_no", place).where(F.col("sample_no") <= size)
+    return least.select("rule_id", "record_reference").withColumn("sample_no", place).where(F.col("sample_no") <= size)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from fnmatch import fnmatch
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -41,35 +43,48 @@ def read_staged(spark: SparkSession, path: str, dataset: str) -> DataFrame:
 
 
 def raw_file_ages(spark: SparkSession, directory: str, day: str, pattern: str = "*.csv") -> DataFrame:
-    """Name and age in days of every raw file on `day` (S3).
+    """Path below `directory` and age in days on `day` of every raw file, in folders of files too (S3).
 
     The file reader passes over files of zero bytes; those come from the directory listing.
     """
-    modified = F.to_date("modificationTime")
+    root = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    prefix = system.makeQualified(root).toString().rstrip("/") + "/"
     ages = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
         .load(directory)
-        .select(
-            F.element_at(F.split("path", "/"), -1).alias("file_name"),
-            F.date_diff(F.lit(day).cast("date"), modified).alias("age_days"),
-        )
+        .select(F.col("path"), F.to_date("modificationTime").alias("modified"))
     )
-    glob = spark._jvm.org.apache.hadoop.fs.Path(directory.rstrip("/") + "/" + pattern)
-    listed = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob) or []
-    empty = [(f.getPath().getName(), f.getModificationTime()) for f in listed if f.isFile() and f.getLen() == 0]
-    if not empty:
-        return ages
-    extra = spark.createDataFrame(empty, "file_name string, millis bigint").select(
-        "file_name", F.date_diff(F.lit(day).cast("date"), F.to_date(F.timestamp_millis("millis"))).alias("age_days")
+    empty, listed = [], system.listFiles(root, True)
+    while listed.hasNext():
+        f = listed.next()
+        if f.getLen() == 0 and fnmatch(f.getPath().getName(), pattern):
+            empty.append((f.getPath().toString(), f.getModificationTime()))
+    if empty:
+        extra = spark.createDataFrame(empty, "path string, millis bigint")
+        ages = ages.unionByName(extra.select("path", F.to_date(F.timestamp_millis("millis")).alias("modified")))
+    # Paths carry one slash after the scheme or three, by who wrote them.
+    below = F.substr(F.regexp_replace("path", "^file:/+", "file:/"), F.lit(len(re.sub("^file:/+", "file:/", prefix)) + 1))
+    return ages.select(
+        below.alias("file_name"), F.date_diff(F.lit(day).cast("date"), F.col("modified")).alias("age_days")
     )
-    return ages.unionByName(extra)
 
 
 def write_extract(df: DataFrame, path: str) -> None:
-    """Staged CSV with a header, replacing what is there (S6); amounts keep two decimals."""
+    """Staged CSV with a header, replacing what is there (S6); amounts keep two decimals.
+
+    Line breaks, quotes and blanks come back as they were; CSV does not tell empty text from missing, so that
+    reads as NULL.
+    """
     as_text = [F.col(f.name).cast("string").alias(f.name) for f in df.schema]
-    df.select(*as_text).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (
+        df.select(*as_text)
+        .write.mode("overwrite")
+        .options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .csv(path)
+    )
 
 
 def write_governed(df: DataFrame, path: str) -> None:

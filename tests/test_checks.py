@@ -107,6 +107,8 @@ def test_freshness_of_files(spark):
     assert (fresh.status, fresh.observed, fresh.expected) == ("PASS", "7 days", "<= 7 days")
     assert fresh.detail == '[["a.csv", 2], ["b.csv", 7]]'
     assert checks.freshness(ages(("b.csv", 8)), Policy()).first().status == "FAIL"
+    parts = checks.freshness(ages(("b.csv/1.csv", 3), ("b.csv/2.csv", 9), ("a.csv", 2)), Policy()).first()
+    assert (parts.status, parts.detail) == ("FAIL", '[["a.csv", 2], ["b.csv", 9]]')
     assert checks.freshness(ages(), Policy()).first().status == "FAIL"
 
 

@@ -91,3 +91,19 @@ def test_managed_tables_are_rebuilt(spark):
     files.save_tables({"dim_small": spark.range(3)})
     files.save_tables({"dim_small": spark.range(2)})
     assert spark.table("dim_small").count() == 2
+
+
+def test_ages_of_files_in_folders(spark, tmp_path):
+    (tmp_path / "customers.csv" / "deep").mkdir(parents=True)
+    (tmp_path / "customers.csv" / "part-0.csv").write_text("a\n1\n")
+    (tmp_path / "customers.csv" / "deep" / "part-1.csv").write_text("")
+    (tmp_path / "orders.csv").write_text("a\n")
+    (tmp_path / "notes.txt").write_text("a\n")
+    ages = files.raw_file_ages(spark, str(tmp_path), dt.date.today().isoformat())
+    assert [r[0] for r in rows(ages)] == ["customers.csv/deep/part-1.csv", "customers.csv/part-0.csv", "orders.csv"]
+
+
+def test_text_survives_an_extract(spark, tmp_path):
+    texts = [(1, "a\nb"), (2, 'say "hi", then\r\ngo'), (3, "  kept  "), (4, None), (5, ""), (6, "back\\slash\\"), (7, '"'), (8, "\u00e9\t")]
+    files.write_extract(spark.createDataFrame(texts, "n int, t string"), str(tmp_path / "x.csv"))
+    assert rows(files.read_raw(spark, str(tmp_path / "x.csv"))) == [(str(n), t or None) for n, t in texts]  # empty is missing

@@ -13,12 +13,13 @@ from conftest import rows
 d, ts = dt.date, dt.datetime
 EXCEPTION = (
     "exception_id int, rule_id string, root_cause string, domain string, severity string, owner string, "
-    "opened_at timestamp_ntz, assigned_at timestamp_ntz, resolved_at timestamp_ntz"
+    "opened_at timestamp_ntz, assigned_at timestamp_ntz, resolved_at timestamp_ntz, disposition string"
 )
 
 
 def exceptions(spark, *data):
-    return spark.createDataFrame([(i, *row) for i, row in enumerate(data)], EXCEPTION)
+    """Rows of EXCEPTION without their number; the disposition may be left out."""
+    return spark.createDataFrame([(i, *row, *[None] * (9 - len(row))) for i, row in enumerate(data)], EXCEPTION)
 
 
 def test_dimension_scores_and_their_weighted_mean(spark):
@@ -78,6 +79,11 @@ def test_assignment_within_one_business_day(spark):
         ("r", "c", "dom", "HIGH", "o", monday, monday, None),
     )
     assert rows(scorecard.assignment_sla(df)) == [("dom", d(2026, 1, 1), 3, 6, D("50.00"))]
+    # Monday off: what came from Friday to Sunday is due on Tuesday, and Monday's too.
+    off = spark.createDataFrame([(d(2026, 1, 5),)], "day date")
+    assert rows(scorecard.assignment_sla(df, off)) == [("dom", d(2026, 1, 1), 4, 6, D("66.67"))]
+    assert rows(scorecard.assignment_sla(df, off.where("false"))) == rows(scorecard.assignment_sla(df))
+    assert rows(scorecard.assignment_sla(df.where("false"), off)) == []
 
 
 def test_time_to_resolve(spark):
@@ -139,6 +145,8 @@ def test_status_colours(spark):
         ("r", "x", "c", "CRITICAL", "o", now, None, None),
     )
     assert rows(scorecard.product_status(rated, open_ones)) == [("a", "AMBER"), ("b", "GREEN"), ("c", "RED")]
+    decided = exceptions(spark, ("r", "x", "a", "CRITICAL", "o", now, None, None, "ACCEPTED"))
+    assert rows(scorecard.product_status(rated, decided)) == [("a", "GREEN"), ("b", "GREEN"), ("c", "RED")]
 
 
 def test_rule_versions(spark):
@@ -160,6 +168,8 @@ def test_schema_contract(spark):
 
 def test_masked_samples(spark):
     df = spark.range(50).selectExpr("id", "if(id = 7, null, id) v")
-    got = rows(scorecard.masked_samples(df, {"SMALL": "v < 10", "ANY": "v >= 0"}, "id", 3))
-    digests = sorted(hashlib.sha256(str(i).encode()).hexdigest() for i in range(10, 50))[:3]
+    got = rows(scorecard.masked_samples(df, {"SMALL": "v < 10", "ANY": "v >= 0"}, "id", 3, "key"))
+    keyed = lambda text: hashlib.sha256(b"key" + text.encode()).hexdigest()
+    digests = sorted(keyed(keyed(str(i))) for i in range(10, 50))[:3]
     assert got == [("SMALL", h, i + 1) for i, h in enumerate(digests)]
+    assert len(rows(scorecard.masked_samples(df, {"SMALL": "v < 10"}, "id", 5000, "key"))) == 39 + 1

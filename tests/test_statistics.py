@@ -48,8 +48,39 @@ def test_percentiles_of_integers_constants_and_nothing(spark):
     assert quantiles.exact_percentiles(ids, "id", ["0.5", "0.25"]) == [D("50000.5"), D("25000.75")]
     assert quantiles.exact_percentiles(amounts(spark, "5", "5"), "x", ["0.3"]) == [D(5)]
     assert quantiles.exact_percentiles(amounts(spark, None), "x", ["0.3"]) == [None]
-    with pytest.raises(TypeError, match="double"):
-        quantiles.exact_percentiles(ids.selectExpr("double(id) x"), "x", ["0.5"])
+    with pytest.raises(TypeError, match="string"):
+        quantiles.exact_percentiles(ids.selectExpr("string(id) x"), "x", ["0.5"])
+
+
+def test_percentiles_of_floating_columns(spark):
+    rng = random.Random(5)
+    values = [rng.lognormvariate(0, 9) * rng.choice((1, -1)) for _ in range(300)] + [0.1] * 150 + [1.7e308, -1.7e308, 5e-324]
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "x double")
+    ordered, ps = sorted(values), ["0", "0.25", "0.5", "0.75", "1"]
+    at = [D(p) * (len(values) - 1) for p in ps]
+    want = [ordered[int(i)] + float(i - int(i)) * (ordered[min(int(i) + 1, len(values) - 1)] - ordered[int(i)]) for i in at]
+    assert quantiles.exact_percentiles(df, "x", ps) == want
+    assert quantiles.exact_percentiles(df.where("x IS NULL"), "x", ["0.5"]) == [None]
+    with pytest.raises(ValueError, match="infinite"):
+        quantiles.exact_percentiles(spark.createDataFrame([(float("inf"),)], "x double"), "x", ["0.5"])
+
+
+def test_fences_and_bins_keep_the_columns_scale(spark):
+    df = spark.createDataFrame([(D(v).scaleb(-7),) for v in (0, 1, 2, 3, 8)], "x decimal(18,7)")
+    assert rows(eda.outliers(df, "x")) == [(D("8E-7"),)]
+    assert eda.distribution(df, "x").first()[-1] == 1
+    assert [r.orders for r in eda.histogram(df, "x").orderBy("bin").collect()] == [2, 2, 0, 0, 1]  # five rows, five bins
+
+
+def test_not_a_number_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.0), (nan, 1.0), (9.0, nan), (None, None)], "a double, b double")
+    assert rows(eda.missing_values(df)) == [("(total)", 4), ("a", 2), ("b", 2)]
+    assert {r.correlation for r in eda.correlation(df).collect()} == {1.0}
+    # Quartiles 1.75 and 4.5, upper fence 8.625.
+    assert [r.a for r in eda.outliers(df, "a").collect()] == [9.0]
+    assert eda.distribution(df, "a").first().total == 15.0
+    assert sum(r.orders for r in eda.histogram(df, "b").collect()) == 4
 
 
 def test_outliers(spark):

@@ -439,6 +439,45 @@ ORACLES["correlation"] = " UNION ALL ".join(
     for y in _MEASURES
 )
 
+_FINE = "ev AS (SELECT event_id, CAST(round(value * 100) AS BIGINT) AS cents FROM events)"
+ORACLES["outliers_fine_scale"] = f"""WITH {_FINE}, {_fences('ev', 'cents')}
+SELECT event_id FROM ev, fences WHERE cents * 200 < low2 OR cents * 200 > high2"""
+
+ORACLES["histogram_fine_scale"] = f"""WITH {_FINE}, s AS (
+  SELECT min(cents) AS low, max(cents) AS high, least(6, count(*)) AS bins FROM ev), c AS (
+  SELECT least(((cents - low) * bins) // (high - low), bins - 1) AS bin, count(*) AS n FROM ev, s GROUP BY 1)
+SELECT CAST(g.bin AS INTEGER) AS bin, coalesce(n, 0) AS orders
+FROM (SELECT unnest(range(bins)) AS bin FROM s) g LEFT JOIN c ON c.bin = g.bin"""
+
+_LINES = """lm AS (
+  SELECT l_quantity AS quantity, CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END AS price,
+         CASE WHEN l_quantity >= 5 THEN l_tax END AS tax FROM lineitem)"""
+_LINE_MEASURES = ("quantity", "price", "tax")
+ORACLES["float_missing_values"] = f"WITH {_LINES}, m AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) - count({c}) AS missing FROM lm" for c in _LINE_MEASURES
+) + ") SELECT * FROM m UNION ALL SELECT '(total)', CAST(sum(missing) AS BIGINT) FROM m"
+
+ORACLES["float_correlation"] = f"WITH {_LINES} " + " UNION ALL ".join(
+    f"SELECT '{x}' AS column_x, '{y}' AS column_y, round(corr({x}, {y}), 3) + 0.0 AS correlation FROM lm"
+    for x in _LINE_MEASURES
+    for y in _LINE_MEASURES
+)
+
+ORACLES["float_distribution"] = f"""WITH {_LINES}, q AS (
+  SELECT quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.5) AS median, quantile_cont(price, 0.75) AS q3 FROM lm)
+SELECT count(*) AS orders, round(any_value(q1), 4) AS q1, round(any_value(median), 4) AS median,
+       round(any_value(q3), 4) AS q3, round(any_value(q3 - q1), 4) AS iqr,
+       round(any_value(q1 - 1.5 * (q3 - q1)), 4) AS lower_fence, round(any_value(q3 + 1.5 * (q3 - q1)), 4) AS upper_fence,
+       count(*) FILTER (price < q1 - 1.5 * (q3 - q1) OR price > q3 + 1.5 * (q3 - q1)) AS outliers
+FROM lm, q"""
+
+# --- runs -----------------------------------------------------------------------------------------
+
+ORACLES["publication_run"] = ORACLES["daily_sales_kpi"]
+ORACLES["publication_stopped"] = ORACLES["check_suite"]
+ORACLES["governance_run"] = ORACLES["rule_results"]
+ORACLES["staged_round_trip"] = "SELECT doc_id, nullif(text, '') AS text FROM documents"
+
 ORACLES["headline"] = f"""WITH {CHECKS}
 SELECT count(*) AS orders, {money('sum(cents)')} AS total_usd,
        (SELECT count(*) FROM results WHERE status = 'PASS') AS checks_passed,
@@ -479,6 +518,12 @@ ORACLES["score_overall"] = f"""WITH {SCORES}, d AS (
   FROM scores GROUP BY ALL)
 SELECT product, {ratio('sum(score * w)', 'sum(w) * 100')} AS overall_score_pct FROM d GROUP BY product"""
 
+ORACLES["score_overall_fine_weights"] = f"""WITH {SCORES}, d AS (
+  SELECT product, dimension, CAST(round(100 * {percent('sum(passed)', 'sum(assessed)')}) AS HUGEINT) AS score,
+         CASE dimension WHEN 'completeness' THEN 6674 WHEN 'validity' THEN 2757 ELSE 3494 END AS w
+  FROM scores GROUP BY ALL)
+SELECT product, {ratio('sum(score * w)', 'sum(w) * 100')} AS overall_score_pct FROM d GROUP BY product"""
+
 ORACLES["score_card"] = f"""WITH {SCORES}
 SELECT product, dimension, CAST(sum(passed) AS BIGINT) AS passed, CAST(sum(assessed) AS BIGINT) AS assessed,
        {percent('sum(passed)', 'sum(assessed)')} AS rate_pct
@@ -522,7 +567,8 @@ ex AS (
          'CAUSE_' || (k // 10) AS root_cause,
          CASE WHEN k < 25 THEN 'CRITICAL' WHEN k < 50 THEN 'HIGH' WHEN k < 75 THEN 'MEDIUM' ELSE 'LOW' END AS severity,
          CASE WHEN k < 95 THEN ts + to_seconds(s) END AS assigned_at,
-         CASE WHEN k >= 10 THEN ts + to_seconds(s * k) END AS resolved_at
+         CASE WHEN k >= 10 THEN ts + to_seconds(s * k) END AS resolved_at,
+         k BETWEEN 5 AND 9 OR k < 5 AND event_type = 'click' AS decided
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
                CAST(round(value * 100) AS BIGINT) * 36 AS s FROM events))"""
 
@@ -534,6 +580,24 @@ ORACLES["score_assignment_sla"] = f"""WITH {EXCEPTIONS}, t AS (
   FROM ex WHERE severity = 'CRITICAL' GROUP BY 1, 2)
 SELECT *, {percent('assigned_in_time', 'raised')} AS sla_pct FROM t"""
 
+ORACLES["score_card_by_owner"] = f"""WITH {EXCEPTIONS}, t AS (
+  SELECT 'STEWARD_' || user_id AS owner, {month('opened_at')} AS month_start,
+         count(assigned_at) + count(resolved_at) AS passed, 2 * count(*) AS assessed
+  FROM ex WHERE severity IN ('CRITICAL', 'HIGH') GROUP BY 1, 2)
+SELECT *, {percent('passed', 'assessed')} AS rate_pct FROM t"""
+
+ORACLES["score_assignment_sla_holidays"] = f"""WITH {EXCEPTIONS}, h AS (
+  SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE date_diff('day', DATE '2024-01-02', CAST(ts AS DATE)) % 9 = 0),
+w AS (SELECT CAST(unnest(range(DATE '2023-01-01', DATE '2027-01-01', INTERVAL 1 DAY)) AS DATE) AS day), o AS (
+  SELECT day FROM w WHERE isodow(day) < 6 AND day NOT IN (SELECT day FROM h)), n AS (
+  SELECT d.day, min(o.day) AS next_day FROM (SELECT DISTINCT CAST(opened_at AS DATE) AS day FROM ex) d
+  JOIN o ON o.day > d.day GROUP BY 1), t AS (
+  SELECT domain, {month('opened_at')} AS month_start,
+         count(*) FILTER (assigned_at <= opened_at + to_days(CAST(date_diff('day', n.day, next_day) AS INTEGER))) AS assigned_in_time,
+         count(*) AS raised
+  FROM ex JOIN n ON n.day = CAST(opened_at AS DATE) WHERE severity = 'CRITICAL' GROUP BY 1, 2)
+SELECT *, {percent('assigned_in_time', 'raised')} AS sla_pct FROM t"""
+
 ORACLES["score_time_to_resolve"] = f"""WITH {EXCEPTIONS}, t AS (
   SELECT severity, {month('resolved_at')} AS month_start, count(*) AS resolved,
          sum(date_diff('second', opened_at, resolved_at)) AS seconds
@@ -554,7 +618,7 @@ SELECT *, {percent('repeats', 'resolved')} AS recurrence_pct FROM t"""
 
 ORACLES["score_product_status"] = f"""WITH {EXCEPTIONS}, t AS (
   SELECT domain AS product, count(resolved_at) AS resolved, count(*) AS raised,
-         bool_or(severity = 'CRITICAL' AND resolved_at IS NULL) AS critical
+         bool_or(severity = 'CRITICAL' AND resolved_at IS NULL AND NOT decided) AS critical
   FROM ex GROUP BY domain), p AS (SELECT *, {percent('resolved', 'raised')} AS resolved_pct FROM t)
 SELECT product, resolved, raised, resolved_pct,
        CASE WHEN resolved_pct >= 89 THEN CASE WHEN critical THEN 'AMBER' ELSE 'GREEN' END
@@ -600,9 +664,10 @@ UNION ALL SELECT 'licence', 'string', NULL, 0, 'MISSING'
 UNION ALL SELECT 'source', NULL, 'string', source, 'EXTRA' FROM n
 UNION ALL SELECT 'toxic', NULL, 'int', toxic, 'EXTRA' FROM n"""
 
-ORACLES["score_masked_samples"] = """WITH f AS (
-  SELECT 'AMOUNT' AS rule_id, sha256(CAST(o_orderkey AS VARCHAR)) AS record_reference FROM orders WHERE NOT o_totalprice <= 450000
+_REFERENCE = f"sha256('{b.SAMPLE_SECRET}' || sha256('{b.SAMPLE_SECRET}' || CAST(o_orderkey AS VARCHAR)))"
+ORACLES["score_masked_samples"] = f"""WITH f AS (
+  SELECT 'AMOUNT' AS rule_id, {_REFERENCE} AS record_reference FROM orders WHERE NOT o_totalprice <= 450000
   UNION ALL
-  SELECT 'STATUS', sha256(CAST(o_orderkey AS VARCHAR)) FROM orders WHERE o_orderstatus NOT IN ('F', 'O'))
+  SELECT 'STATUS', {_REFERENCE} FROM orders WHERE o_orderstatus NOT IN ('F', 'O'))
 SELECT rule_id, record_reference, CAST(row_number() OVER (PARTITION BY rule_id ORDER BY record_reference) AS INTEGER) AS sample_no
 FROM f QUALIFY sample_no <= 5"""

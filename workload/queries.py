@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.numeric import percent
+from plumbline.functions.parsing import month_start
 from plumbline.operators import checks, cleaning, eda, kpi, profile, recon, rules, scorecard, star
+from plumbline.plans import governance, publication
 from plumbline.sources import files
+from plumbline.sources.contracts import CHECK_SCHEMA
 from workload import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -321,6 +326,32 @@ def correlation(spark, sf):
     return eda.correlation(b.table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
 
 
+@register
+def outliers_fine_scale(spark, sf):
+    return eda.outliers(b.fine_values(spark, sf), "value").select("event_id")
+
+
+@register
+def histogram_fine_scale(spark, sf):
+    return eda.histogram(b.fine_values(spark, sf), "value").select("bin", "orders")
+
+
+@register
+def float_missing_values(spark, sf):
+    return eda.missing_values(b.line_measures(spark, sf))
+
+
+@register
+def float_correlation(spark, sf):
+    return eda.correlation(b.line_measures(spark, sf))
+
+
+@register
+def float_distribution(spark, sf):
+    found = eda.distribution(b.line_measures(spark, sf), "price").drop("total")
+    return found.select(*[F.round(c, 4).alias(c) if c not in ("orders", "outliers") else c for c in found.columns])
+
+
 @register
 def headline(spark, sf):
     return eda.headline(b.sales_orders(spark, sf), _checks(spark, sf))
@@ -332,29 +363,77 @@ def dataset_volumes(spark, sf):
     return eda.volumes(raw, {name: cleaning.accepted(cleaning.parse(df, name)) for name, df in raw.items()})
 
 
+# --- runs -----------------------------------------------------------------------------------------
+
+
+def _run_dir(spark):
+    return f"{files.scratch_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+
+
+def _extracts(raw, path):
+    for name, df in raw.items():
+        files.write_extract(df, f"{path}/{name}.csv")
+    return path
+
+
+@register
+def publication_run(spark, sf):
+    """Raw extracts to published model; the daily KPIs of what was published."""
+    base = _run_dir(spark)
+    raw = {"customers": b.raw_customers(spark, sf), "sales_orders": b.raw_orders(spark, sf), "gl_controls": b.raw_controls(spark, sf)}
+    published = publication.run(spark, _extracts(raw, f"{base}/raw"), f"{base}/out", b.DAY, b.EVALUATED_AT, b.OPEN_POLICY)
+    return published["vw_daily_sales_kpi"]
+
+
+@register
+def publication_stopped(spark, sf):
+    """A run over faulty extracts stops at the gate; the controls it leaves as evidence."""
+    base = _run_dir(spark)
+    raw = {
+        "customers": b.raw_customers(spark, sf),
+        "sales_orders": b.raw_orders(spark, sf, faulty=True),
+        "gl_controls": b.raw_controls(spark, sf, drift=True),
+    }
+    path = _extracts(raw, f"{base}/raw")
+    try:
+        publication.run(spark, path, f"{base}/out", b.DAY, b.EVALUATED_AT, b.POLICY, "quarantine", "stopped")
+    except checks.GateFailed:
+        kept = files.read_governed(spark, f"{base}/out/checks/dq_check_result/run_id=stopped", CHECK_SCHEMA)
+        return kept.where("check_id <> 'FRESH_RAW_EXTRACTS'").drop("evaluated_at_utc")
+    raise AssertionError("the gate let faulty extracts pass")
+
+
+@register
+def governance_run(spark, sf):
+    """Profiles, rules and incidents as one run publishes them; its rule results."""
+    done = governance.run(spark, b.rule_frames(spark, sf), b.RULES, _run_dir(spark), b.DAY, b.EVALUATED_AT)
+    return done["governed_rule_result"].drop("evaluated_at_utc")
+
+
+@register
+def staged_round_trip(spark, sf):
+    """Texts with line breaks, quotes and commas, written as an extract and read back."""
+    base = _run_dir(spark)
+    files.write_extract(b.table(spark, sf, "documents").select("doc_id", "text"), base)
+    return files.read_raw(spark, base).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+
+
 # --- governance metrics ---------------------------------------------------------------------------
 
 
 def _scores(spark, sf):
-    documents = b.labelled_documents(spark, sf)
+    documents, texts = b.labelled_documents(spark, sf), b.table(spark, sf, "documents")
     lines, orders = b.table(spark, sf, "lineitem"), b.sales_orders(spark, sf)
+    valid_text = {"n_chars": F.col("n_chars").between(1, 5000), "lang": F.col("lang").isin("en", "fr")}
+    valid_order = {"order_amount": F.col("order_amount") <= b.POLICY.max_amount}
     parts = [
-        scorecard.completeness(documents, "documents", ["text", "lang", "quality", "toxic"]),
-        scorecard.validity(
-            documents,
-            "documents",
-            {"n_chars": F.col("n_chars").between(1, 5000), "lang": F.col("lang").isin("en", "fr")},
-        ),
-        scorecard.uniqueness(documents, "documents", ["text"]),
-        scorecard.completeness(orders, "sales_orders", ["customer_id", "order_amount"]),
-        scorecard.validity(orders, "sales_orders", {"order_amount": F.col("order_amount") <= b.POLICY.max_amount}),
+        scorecard.cell_scores(documents, "documents", ["text", "lang", "quality", "toxic"], valid_text),
+        scorecard.uniqueness(texts, "documents", ["text"]),
+        scorecard.cell_scores(orders, "sales_orders", ["customer_id", "order_amount"], valid_order),
         scorecard.uniqueness(orders, "sales_orders", ["order_id"]),
         scorecard.uniqueness(lines, "order_lines", ["l_orderkey", "l_linenumber"]),
     ]
-    scores = parts[0]
-    for part in parts[1:]:
-        scores = scores.unionByName(part)
-    return scores
+    return reduce(DataFrame.unionByName, parts)
 
 
 WEIGHTS = {"completeness": 5, "validity": 3, "uniqueness": 2}
@@ -370,6 +449,22 @@ def score_overall(spark, sf):
     return scorecard.overall_score(_scores(spark, sf), WEIGHTS)
 
 
+@register
+def score_overall_fine_weights(spark, sf):
+    weights = {"completeness": Decimal("0.6674"), "validity": Decimal("0.2757"), "uniqueness": Decimal("0.3494")}
+    return scorecard.overall_score(_scores(spark, sf), weights)
+
+
+@register
+def score_card_by_owner(spark, sf):
+    """Scores of exceptions by owner and month, those of high severity only."""
+    exceptions = b.exceptions(spark, sf).withColumn("month_start", month_start(F.col("opened_at")))
+    scores = scorecard.cell_scores(
+        exceptions, "exceptions", ["assigned_at", "resolved_at"], by=["owner", "severity", "month_start"]
+    )
+    return scorecard.scorecard(scores, ["owner", "month_start"], where="severity IN ('CRITICAL', 'HIGH')")
+
+
 @register
 def score_card(spark, sf):
     return scorecard.scorecard(_scores(spark, sf), ["product", "dimension"], totals=True)
@@ -410,6 +505,11 @@ def score_assignment_sla(spark, sf):
     return scorecard.assignment_sla(b.exceptions(spark, sf))
 
 
+@register
+def score_assignment_sla_holidays(spark, sf):
+    return scorecard.assignment_sla(b.exceptions(spark, sf), b.holidays(spark, sf))
+
+
 @register
 def score_time_to_resolve(spark, sf):
     return scorecard.time_to_resolve(b.exceptions(spark, sf))
@@ -459,4 +559,4 @@ def score_schema_contract(spark, sf):
 @register
 def score_masked_samples(spark, sf):
     conditions = {"AMOUNT": "o_totalprice <= 450000", "STATUS": "o_orderstatus IN ('F', 'O')"}
-    return scorecard.masked_samples(b.table(spark, sf, "orders"), conditions, "o_orderkey", 5)
+    return scorecard.masked_samples(b.table(spark, sf, "orders"), conditions, "o_orderkey", 5, b.SAMPLE_SECRET)
