@@ -171,10 +171,10 @@ def next_business_days(days: DataFrame, holidays: DataFrame) -> DataFrame:
     All steps are over calendar days, so the window is bounded by the calendar.
     """
     off = holidays.toDF("day").distinct()
-    closed = off.agg(F.count("*").alias("n"))
+    closed = off.agg(F.count("*")).scalar()
     # Past the last day there is a working day within the holidays and a weekend for each of them.
-    span = days.agg(F.min("day").alias("low"), F.max("day").alias("high")).where("low IS NOT NULL").join(closed, F.lit(True))
-    reach = F.date_add("high", (F.col("n") * 3 + 5).cast("int"))
+    span = days.agg(F.min("day").alias("low"), F.max("day").alias("high")).where("low IS NOT NULL")
+    reach = F.date_add("high", (closed * 3 + 5).cast("int"))
     dates = span.select(F.explode(F.sequence("low", reach)).alias("day"))
     open_days = dates.where(F.weekday("day") < 5).join(off, "day", "left_anti").withColumn("_open", F.col("day"))
     after = W.orderBy("day").rowsBetween(1, W.unboundedFollowing)
