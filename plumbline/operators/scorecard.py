@@ -362,7 +362,8 @@ _SAMPLE_PARTS = 256
 def masked_samples(df: DataFrame, conditions: dict[str, str], key: str, size: int, secret: str) -> DataFrame:
     """Keyed digests of up to `size` failing rows per rule, as evidence without raw identifiers.
 
-    Without `secret`, which is written nowhere, no one can recompute a reference. The sample is the smallest
+    Without `secret` no one can recompute a reference. No output holds it, but the query plan does, and with it
+    plan listings and event logs. The sample is the smallest
     digests, so it is the same on every run. They are taken in parts of each rule first, so that a rule
     nearly every row fails is never one task's work, whatever the size.
     """
