@@ -4,8 +4,10 @@ Training texts are streamed through the automaton word by word; it tracks the lo
 some item. Where that length reaches a window (13 words, or a whole shorter item), the window occurs and its words are
 hit. Only runs of words and word pairs that the items have can hold a window, so only those are streamed.
 
-The benchmark is a stated set. Its size is checked before it is gathered: items are dealt to blocks of at most
-`BLOCK_BYTES` of text by a running sum, each block has its own automaton, and a text is streamed through each in turn.
+The benchmark is a stated set. Its size is checked before it is gathered: items are cut into pieces that overlap by a
+window less one word, pieces are dealt to blocks, and the number of blocks is doubled until none has more than
+`BLOCK_BYTES` of text (or it is a single piece). Each block has its own automaton and its own pass over the texts, so
+driver and tasks hold one automaton of bounded size at a time.
 
 Defined results: a null text or item has no words; an item without words has no window; a null item_id counts as an
 item but is left out of the list; repeated items count by item_id; an empty table gives an empty result, an empty
@@ -15,19 +17,30 @@ benchmark no hits. Other columns pass through.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from plumbline.llm.common import arrow_map, packed, slices, whole
+from plumbline.llm.common import Scratch, arrow_map, packed, slices, whole
 
-#: Text of the items that one automaton is made of; the automaton is sent to the tasks that use it.
-BLOCK_BYTES = 8 << 20
+#: Text of the items that one automaton is made of, which takes about a hundred times that in the tasks that use it.
+BLOCK_BYTES = 2 << 20
+#: Words of a piece of an item.
+PIECE = 4096
 #: Not a letter of A-Z, a-z, a digit or beyond ASCII: between words. Capitals become small.
 PLAIN = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
 _GAP, _END = -1, -2
+_FOUND_DDL = "n_words bigint, items array<string>, hits array<struct<start: bigint, end: bigint>>"
+_FOUND_ARROW = pa.struct(
+    [
+        ("n_words", pa.int64()),
+        ("items", pa.list_(pa.string())),
+        ("hits", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+    ]
+)
 _PAIRS = 1 << 20
 
 
@@ -48,8 +61,8 @@ class Automaton:
             last = 0
             for c in seq:
                 last = self._extend(last, c)
-        self.full: list[set] = [set() for _ in self.next]
-        short: list[set] = [set() for _ in self.next]
+        self.full: dict[int, set] = {}
+        short: dict[int, set] = {}
         self.shortest = window
         self.pairs = np.zeros(_PAIRS, bool)
         for item, seq in ids:
@@ -61,16 +74,16 @@ class Automaton:
                 while self.len[self.link[state]] >= length:
                     state = self.link[state]
                 if length == window:
-                    self.full[state].add(item)
+                    self.full.setdefault(state, set()).add(item)
             if len(seq) < window:
                 self.shortest = min(self.shortest, len(seq))
-                short[state].add((len(seq), item))
+                short.setdefault(state, set()).add((len(seq), item))
             a = np.array(seq, np.int64)
             self.pairs[self.pair(a[:-1], a[1:])] = True
         #: Short items that are suffixes of what a state stands for, its own included.
         self.short: list[tuple] = [()] * len(self.next)
         for s in sorted(range(1, len(self.next)), key=self.len.__getitem__):
-            self.short[s] = tuple(short[s]) + (self.short[self.link[s]] if self.link[s] > 0 else ())
+            self.short[s] = tuple(short.get(s, ())) + (self.short[self.link[s]] if self.link[s] > 0 else ())
 
     @staticmethod
     def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -144,21 +157,18 @@ class Automaton:
         return list(zip(starts[long_].tolist(), stops[long_].tolist()))
 
 
-def scan_texts(texts: list[bytes | None], automata: list[Automaton]) -> list[tuple[int, list[tuple[int, int]], set]]:
+def scan_texts(texts: list[bytes | None], automaton: Automaton) -> list[tuple[int, list[tuple[int, int]], set]]:
     """(words, maximal hit runs of words with exclusive ends, items) of each text."""
-    out = [(0, [], set()) for _ in texts]
-    for k, automaton in enumerate(automata):
-        ids = automaton.numbers(texts)
-        ends = np.flatnonzero(ids == _END)
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        if k == 0:
-            out = [(n, [], set()) for n in (ends - starts).tolist()]
-        for a, b in automaton.candidates(ids):
-            i = int(np.searchsorted(ends, a))
-            base = a - int(starts[i])
-            for first, last, items in automaton.stream(ids[a:b].tolist()):
-                out[i][1].append((base + first, base + last + 1))
-                out[i][2].update(items)
+    ids = automaton.numbers(texts)
+    ends = np.flatnonzero(ids == _END)
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    out: list[tuple[int, list[tuple[int, int]], set]] = [(n, [], set()) for n in (ends - starts).tolist()]
+    for a, b in automaton.candidates(ids):
+        i = int(np.searchsorted(ends, a))
+        base = a - int(starts[i])
+        for first, last, items in automaton.stream(ids[a:b].tolist()):
+            out[i][1].append((base + first, base + last + 1))
+            out[i][2].update(items)
     return [(n, _merged(spans), items) for n, spans, items in out]
 
 
@@ -172,17 +182,45 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def automata_of(benchmark: DataFrame, window: int, item_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> list[list[tuple]]:
-    """Items by block. What one block brings to the driver is bounded by `block_bytes` and one item more."""
+def pieces_of(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> DataFrame:
+    """Distinct (item, piece): the words of every item, long ones in pieces that hold each window whole."""
+    step = PIECE - window + 1
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items, pieces = [], []
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+                words = words_of(text)
+                for at in range(0, max(1, len(words) - window + 1), step):
+                    items.append(item)
+                    pieces.append(b" ".join(words[at : at + PIECE]).decode())
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(pieces, pa.string())], ["item", "piece"])
+
     items = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"), whole(text_col).alias("text"))
-    sized = items.withColumn("size", F.octet_length("text") + 16)
-    total = sized.agg(F.sum("size")).first()[0] or 0
-    if total <= block_bytes:
-        return [[(r.item, words_of(r.text.encode())) for r in items.collect()]]
-    order = Window.orderBy("item", "text").rowsBetween(Window.unboundedPreceding, 0)
-    dealt = sized.withColumn("block", F.floor(F.sum("size").over(order) / block_bytes))
-    count = dealt.agg(F.max("block")).first()[0] + 1
-    return [[(r.item, words_of(r.text.encode())) for r in dealt.where(F.col("block") == k).collect()] for k in range(count)]
+    return arrow_map(items, of_batches, "item string, piece string").where("piece <> ''").distinct()
+
+
+def blocks_of(pieces: DataFrame, block_bytes: int) -> Iterator[list[tuple]]:
+    """(item, words) of one block after the other; a written table of pieces is dealt by hash."""
+    size = F.octet_length("piece") + 16
+    total, rows = pieces.agg(F.coalesce(F.sum(size), F.lit(0)), F.count(F.lit(1))).first()
+    count = max(1, -(-total // block_bytes))
+
+    def dealt(n: int) -> DataFrame:
+        return pieces.withColumn("block", F.pmod(F.xxhash64("item", "piece"), F.lit(n)))
+
+    if count > 1:
+        # A block over the limit that holds one piece cannot be made smaller.
+        def crowded(n: int) -> bool:
+            sizes = dealt(n).groupBy("block").agg(F.sum(size).alias("n"), F.count(F.lit(1)).alias("pieces"))
+            return sizes.where((F.col("n") > block_bytes) & (F.col("pieces") > 1)).limit(1).count() > 0
+
+        while count < rows * rows and crowded(count):
+            count *= 2
+    for k in range(count):
+        held = [(r.item, r.piece.encode().split()) for r in dealt(count).where(F.col("block") == k).collect()]
+        if held or k == 0:
+            yield held
 
 
 def contamination(
@@ -200,38 +238,51 @@ def contamination(
     `hits` are maximal runs of hit words (start, end exclusive, counted in words). A text is contaminated when it has a
     hit and at least one in `one_in` of its words is hit.
     """
-    blocks = [Automaton(items, window) for items in automata_of(benchmark, window, item_col, item_text_col, block_bytes)]
-    sent = docs.sparkSession.sparkContext.broadcast(blocks)
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    pieces = scratch.keep(pieces_of(benchmark, window, item_col, item_text_col), "pieces")
     rows = docs.select(packed(docs).alias("row"), whole(text_col).alias("text"))
-    found_type = pa.struct(
-        [
-            ("n_words", pa.int64()),
-            ("n_hit", pa.int64()),
-            ("items", pa.list_(pa.string())),
-            ("hits", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-        ]
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    last, passes = None, []
+    for items in blocks_of(pieces, block_bytes):
+        if last is not None:  # the hits of the pass before are written, so that its automaton can go
+            hit = _streamed(rows.select(F.struct(digest.alias("digest")).alias("row"), "text"), last).where(F.size("found.hits") > 0)
+            passes.append(scratch.keep(hit.groupBy("row.digest").agg(F.first("found").alias("found")), "found", collect=True))
+        last = Automaton(items, window)
+    if passes:
+        parts = [F.flatten(F.collect_list(f"found.{name}")).alias(name) for name in ("items", "hits")]
+        found = reduce(DataFrame.unionByName, passes).groupBy(F.col("digest").alias("of_digest")).agg(*parts)
+        found = scratch.keep(found.select("of_digest", F.struct("items", "hits").alias("earlier")), "earlier")
+        rows = rows.join(found, digest == F.col("of_digest"), "left").select("row", "text", "earlier")
+    found = F.struct(F.aggregate("found.hits", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"]).alias("n_hit"), F.col("found"))
+    bad = (F.col("n_hit") > 0) & (one_in * F.col("n_hit") >= F.col("n_words"))
+    return (
+        _streamed(rows, last)
+        .select("row", found.alias("f"))
+        .select("row", "f.found.n_words", "f.n_hit", "f.found.items", "f.found.hits")
+        .withColumn("contaminated", bad)
     )
 
+
+def _streamed(rows: DataFrame, automaton: Automaton) -> DataFrame:
+    """(row, found) of (row, text) after a pass through one automaton; `earlier`, if there, is what other passes found."""
+    sent = rows.sparkSession.sparkContext.broadcast(automaton)
+
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
+            before = batch.column("earlier").to_pylist() if "earlier" in batch.schema.names else [None] * len(texts)
             found = []
             for a, b in slices(map(len, texts)):
-                for n, spans, items in scan_texts(texts[a:b], sent.value):
-                    found.append(
-                        {
-                            "n_words": n,
-                            "n_hit": sum(e - s for s, e in spans),
-                            "items": sorted(x for x in items if x is not None),
-                            "hits": [{"start": s, "end": e} for s, e in spans],
-                        }
-                    )
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, found_type)], ["row", "found"])
-
-    found_ddl = "n_words bigint, n_hit bigint, items array<string>, hits array<struct<start: bigint, end: bigint>>"
-    schema = rows.select("row").schema.add("found", T.StructType.fromDDL(found_ddl))
-    bad = (F.col("n_hit") > 0) & (one_in * F.col("n_hit") >= F.col("n_words"))
-    return arrow_map(rows, of_batches, schema).select("row", "found.*").withColumn("contaminated", bad)
+                for old, (n, spans, items) in zip(before[a:b], scan_texts(texts[a:b], sent.value)):
+                    if old:
+                        spans = _merged(spans + [(s["start"], s["end"]) for s in old["hits"]])
+                        items.update(old["items"])
+                    hits = [{"start": s, "end": e} for s, e in spans]
+                    found.append({"n_words": n, "items": sorted(x for x in items if x is not None), "hits": hits})
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, _FOUND_ARROW)], ["row", "found"])
+
+    schema = rows.select("row").schema.add("found", T.StructType.fromDDL(_FOUND_DDL))
+    return arrow_map(rows, of_batches, schema)
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = 13, one_in: int = 20, text_col: str = "text") -> DataFrame:

@@ -75,11 +75,11 @@ class Model:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", rows: int = FIT_ROWS) -> Model:
-    """Text model from at most about `rows` rows, drawn by a hash of their content."""
+    """Text model from at most about `rows` different texts, drawn by a hash of their content; copies count once."""
     usable = labelled.select(whole(text_col).alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).where("lang IS NOT NULL")
     total = labelled.count()
     parts = max(1, -(-total // rows))
-    drawn = usable.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == 0) if parts > 1 else usable
+    drawn = (usable.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == 0) if parts > 1 else usable).distinct()
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -209,7 +209,9 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
     scratch = Scratch(rows.sparkSession, "langid")
     rows = rows.withColumn("host", F.coalesce("host", F.lit("")))
     evident = scratch.keep(evidence(rows, model), "evidence")
-    return posterior(evident, host_priors(evident.select("host", "vote"), len(model.languages)), model.languages)
+    # Written, so that Spark sees their size and can split a hot host in the join.
+    priors = scratch.keep(host_priors(evident.select("host", "vote"), len(model.languages)), "priors")
+    return posterior(evident, priors, model.languages)
 
 
 def identify_pages(pages: DataFrame, model: Model) -> DataFrame:

@@ -198,6 +198,18 @@ def test_contamination(spark, block_bytes):
     assert got(out) == Counter((r[0], *brute_hits(text_of(r), ITEMS)) for r in edge_rows())
 
 
+def test_long_items_are_cut_without_losing_windows(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PIECE", 16)
+    rng = random.Random(8)
+    items = [(1, " ".join(f"t{rng.randrange(40)}" for _ in range(90))), (2, " ".join(f"t{i}" for i in range(13))), (3, "t1 t2 t3")]
+    long = items[0][1].split()
+    texts = [(i, " ".join(["pad", *long[i : i + 11 + i % 5], "pad"])) for i in range(75)] + [(99, items[0][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block_bytes in (1 << 20, 200):
+        out = decontaminate.contamination(spark.createDataFrame(texts, "doc_id long, text string"), bench, block_bytes=block_bytes)
+        assert got(out.select("row.doc_id", "n_words", "n_hit", "items", "contaminated")) == Counter((i, *brute_hits(t, items)) for i, t in texts)
+
+
 def test_contamination_without_items_and_clean_rows(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     df = frame(spark)
@@ -214,7 +226,7 @@ def test_automaton_on_random_items():
     automaton = decontaminate.Automaton([(str(i), decontaminate.words_of(t.encode())) for i, t in items], 4)
     for _ in range(200):
         text = " ".join(rng.choices("abcd", k=rng.randint(0, 30)))
-        n, hits, found = decontaminate.scan_texts([text.encode()], [automaton])[0]
+        n, hits, found = decontaminate.scan_texts([text.encode()], automaton)[0]
         assert (n, sum(b - a for a, b in hits), tuple(sorted(found))) == brute_hits(text, items, 4)[:3]
 
 
