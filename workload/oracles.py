@@ -196,8 +196,17 @@ def _in(values: tuple[str, ...]) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
+def _blanks(*columns: str) -> str:
+    cells = " + ".join(f"(CASE WHEN coalesce(trim(CAST({c} AS VARCHAR)), '') = '' THEN 1 ELSE 0 END)" for c in columns)
+    return f"CAST(coalesce(sum({cells}), 0) AS BIGINT)"
+
+
 _POLICY = b.POLICY
-CHECKS = f"""{SALES}, {CUSTOMERS}, {CONTROLS}, ok AS (
+
+
+def _checks(datasets: str, missing: str = "", warned: str = "") -> str:
+    """The suite over so, cu and gl; `missing` is a column that the controls lack, `warned` a check that only warns."""
+    return f"""{datasets}, ok AS (
   SELECT * FROM so WHERE cents >= {b.CURATED_FLOOR} * 100 AND cents < {b.SOURCE_CEILING} * 100), f AS (
   SELECT
     (SELECT count(*) FROM so) AS raw_rows,
@@ -206,24 +215,24 @@ CHECKS = f"""{SALES}, {CUSTOMERS}, {CONTROLS}, ok AS (
     (SELECT count(*) - count(DISTINCT customer_id) FROM cu) AS dup_customers,
     (SELECT count(*) FROM ok WHERE NOT (cents > 0 AND cents <= {_POLICY.max_amount} * 100)) AS bad_range,
     (SELECT count(*) FROM ok WHERE category NOT IN ({_in(_POLICY.categories)})
-                                OR currency NOT IN ({_in(_POLICY.currencies)})) AS bad_orders,
-    (SELECT count(*) FROM cu WHERE segment NOT IN ({_in(_POLICY.segments)})
+                                OR coalesce(currency, '') NOT IN ({_in(_POLICY.currencies)})) AS bad_orders,
+    (SELECT count(*) FROM cu WHERE coalesce(segment, '') NOT IN ({_in(_POLICY.segments)})
                                 OR status NOT IN ({_in(_POLICY.statuses)})) AS bad_customers,
     (SELECT count(*) FROM ok WHERE customer_id NOT IN (SELECT customer_id FROM cu)) AS orphans,
     (SELECT CAST(sum(cents) AS BIGINT) FROM ok) AS cents,
     (SELECT CAST(sum(order_count) AS BIGINT) FROM gl) AS gl_rows,
     (SELECT CAST(sum(cents) AS BIGINT) FROM gl) AS gl_cents,
-    (SELECT count(*) FILTER (customer_id IS NULL OR customer_name IS NULL OR segment IS NULL) FROM cu) AS null_customers,
-    (SELECT count(*) FILTER (category IS NULL OR currency IS NULL) FROM ok) AS null_orders,
-    (SELECT count(*) FILTER (source_system IS NULL OR currency IS NULL) FROM gl) AS null_controls), checks AS (
+    (SELECT {_blanks('customer_id', 'customer_name', 'segment', 'status', 'created_date')} FROM cu) AS null_customers,
+    (SELECT {_blanks('order_id', 'customer_id', 'order_date', 'cents', 'currency', 'category')} FROM ok) AS null_orders,
+    (SELECT {_blanks('control_date', 'source_system', 'order_count', 'cents', 'currency')} FROM gl) AS null_controls), checks AS (
   SELECT 'REQ_CUSTOMERS' AS check_id, true AS passed,
          'customer_id, customer_name, segment, status, created_date' AS observed,
          'all required columns present' AS expected, 'Validated at ingestion' AS detail
   UNION ALL SELECT 'REQ_SALES_ORDERS', true,
          'order_id, customer_id, order_date, order_amount, currency, category',
          'all required columns present', 'Validated at ingestion'
-  UNION ALL SELECT 'REQ_GL_CONTROLS', true,
-         'control_date, source_system, order_count, order_amount, currency',
+  UNION ALL SELECT 'REQ_GL_CONTROLS', '{missing}' = '',
+         {f"'missing: {missing}'" if missing else "'control_date, source_system, order_count, order_amount, currency'"},
          'all required columns present', 'Validated at ingestion'
   UNION ALL SELECT 'NULL_CUSTOMERS', null_customers = 0, CAST(null_customers AS VARCHAR), '<= 0',
          'Required-field null values' FROM f
@@ -248,7 +257,19 @@ CHECKS = f"""{SALES}, {CUSTOMERS}, {CONTROLS}, ok AS (
   UNION ALL SELECT 'RECON_ORDER_VALUE', cents = gl_cents, CAST(CAST(cents AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2))::VARCHAR,
          CAST(CAST(gl_cents AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2))::VARCHAR,
          'Sales orders versus GL control amount' FROM f), results AS (
-  SELECT check_id, CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END AS status, observed, expected, detail FROM checks)"""
+  SELECT check_id, CASE WHEN passed THEN 'PASS' WHEN check_id = '{warned}' THEN 'WARN' ELSE 'FAIL' END AS status, observed, expected, detail FROM checks)"""
+
+
+CHECKS = _checks(f"{SALES}, {CUSTOMERS}, {CONTROLS}")
+#: The datasets of `bindings.failing_extracts`.
+_FAILING = f"""{SALES.replace('so AS (', 'so0 AS (')}, {CUSTOMERS.replace('cu AS (', 'cu0 AS (')}, {CONTROLS.replace('gl AS (', 'gl0 AS (').replace('FROM so', 'FROM so0')},
+so1 AS (SELECT * REPLACE (CASE WHEN o_orderkey % 70 = 4 THEN NULL ELSE currency END AS currency) FROM so0),
+so AS (SELECT * FROM so1 UNION ALL SELECT * FROM so1 WHERE o_orderkey % 100 = 3),
+cu1 AS (SELECT * REPLACE (CASE WHEN customer_key % 30 = 2 THEN NULL ELSE segment END AS segment) FROM cu0 WHERE customer_key % 50 <> 0),
+cu AS (SELECT * FROM cu1 UNION ALL SELECT * FROM cu1 WHERE customer_key % 40 = 1),
+gl AS (SELECT * REPLACE (CAST(NULL AS VARCHAR) AS source_system) FROM gl0)"""
+
+ORACLES["check_suite_failing"] = f"WITH {_checks(_FAILING, 'source_system', 'DUP_CUSTOMERS')} SELECT * FROM results"
 
 ORACLES["check_suite"] = f"WITH {CHECKS} SELECT * FROM results"
 
@@ -317,6 +338,8 @@ ORACLES["column_profile_orders"] = f"WITH {SALES}, " + _profile(
     },
 )
 
+ORACLES["column_profile_approximate"] = ORACLES["column_profile_orders"].replace("max_value\nFROM p", "max_value,\n       true AS estimate_within_bound\nFROM p")
+
 ORACLES["column_profile_customers"] = f"WITH {CUSTOMERS}, " + _profile(
     "cu",
     "customers",

@@ -173,6 +173,17 @@ def check_suite(spark, sf):
     return _checks(spark, sf).drop("evaluated_at_utc")
 
 
+@register
+def check_suite_failing(spark, sf):
+    """The suite over extracts in which every kind of control fails; one of them only warns."""
+    raw = b.failing_extracts(spark, sf)
+    filled = {name: files.fill_missing(df, name) for name, df in raw.items()}
+    parsed = {name: files.materialize(cleaning.parse(df, name), f"parsed-{name}") for name, df in filled.items()}
+    clean = {name: cleaning.accepted(df) for name, df in parsed.items()}
+    columns = {name: df.columns for name, df in raw.items()}
+    return checks.check_suite(clean, parsed, b.EVALUATED_AT, b.WARN_POLICY, raw_columns=columns).drop("evaluated_at_utc")
+
+
 @register
 def quality_exceptions(spark, sf):
     stamp = F.date_format("evaluated_at_utc", "yyyy-MM-dd HH:mm:ss").alias("evaluated_at_utc")
@@ -243,7 +254,13 @@ def column_profile_documents(spark, sf):
 
 @register
 def column_profile_approximate(spark, sf):
-    return profile.profile(b.sales_orders(spark, sf), "sales_orders", b.EVALUATED_AT, "approx").drop("evaluated_at_utc")
+    """The exact profile, and whether the sketches' estimates are within a tenth (five standard errors) of it."""
+    exact = _profile(b.sales_orders(spark, sf), "sales_orders")
+    sketched = profile.profile(b.sales_orders(spark, sf), "sales_orders", b.EVALUATED_AT, "approx")
+    sketched = sketched.select("column_name", *[F.col(c).alias(f"approx_{c}") for c in ("row_count", "null_count", "distinct_count")])
+    exactly = (F.col("approx_row_count") == F.col("row_count")) & (F.col("approx_null_count") == F.col("null_count"))
+    near = F.abs(F.col("approx_distinct_count") - F.col("distinct_count")) * 10 <= F.col("distinct_count") + 10
+    return exact.join(sketched, "column_name").select(*exact.columns, (exactly & near).alias("estimate_within_bound"))
 
 
 def _results(spark, sf):
