@@ -21,20 +21,24 @@ def run(
     day: date,
     evaluated_at: datetime,
     distinct: str = "exact",
+    run_id: str | None = None,
 ) -> dict[str, DataFrame]:
     """Publish profiles, rule results and incidents under `out_dir`, and return them with their views.
 
-    Profiles and results are replaced. Incidents are added, each deduplication key once, so a second run
-    on the same day opens nothing twice. The session is the caller's and stays open.
+    Profiles and results are kept per `run_id` (the evaluation time if not given); the views show this run's.
+    Incidents are added, each deduplication key once, so a second run on the same day opens nothing twice. The
+    session is the caller's and stays open.
     """
+    run_id = run_id or f"{evaluated_at:%Y%m%dT%H%M%S}"
 
-    def replace(name: str, df: DataFrame) -> DataFrame:
-        files.write_governed(df, f"{out_dir}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{out_dir}/{name}")
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        path = f"{out_dir}/{name}/run_id={run_id}"
+        files.write_governed(df, path)
+        return spark.read.schema(df.schema).parquet(path)
 
     rules.validate_rules(config)
-    profiles = replace("column_profile", profile.profile_all(frames, evaluated_at, distinct))
-    results = replace("rule_result", rules.evaluate_rules(frames, config, day, evaluated_at))
+    profiles = keep("column_profile", profile.profile_all(frames, evaluated_at, distinct))
+    results = keep("rule_result", rules.evaluate_rules(frames, config, day, evaluated_at))
 
     path = f"{out_dir}/incident"
     published = files.read_governed(spark, path, INCIDENT_SCHEMA)

@@ -12,6 +12,8 @@ from plumbline.sources import files
 from plumbline.sources.contracts import CHECK_SCHEMA, CLEAN_COLUMNS, Policy
 
 DATASETS = tuple(CLEAN_COLUMNS)
+MODEL = ("dim_date", "dim_customer", "dim_category", "fact_sales_order", "fact_reconciliation_control")
+PUBLISHED_SCHEMA = "run_id string, published_at timestamp"
 
 
 def load_model(clean: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
@@ -39,6 +41,21 @@ def load_model(clean: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
     return model
 
 
+def _switch(spark: SparkSession, out_dir: str, run_id: str) -> None:
+    """Make a run's model the current one, by one appended row."""
+    done = spark.range(1).select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("published_at"))
+    files.append_governed(done.coalesce(1), f"{out_dir}/published")
+
+
+def current_model(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """Star tables of the run that was published last; a run that is under way or has failed is not seen."""
+    runs = files.read_governed(spark, f"{out_dir}/published", PUBLISHED_SCHEMA)
+    last = runs.orderBy(F.desc("published_at")).first()
+    if last is None:
+        raise LookupError(f"nothing is published in {out_dir}")
+    return {name: spark.read.parquet(f"{out_dir}/model/run_id={last.run_id}/{name}") for name in MODEL}
+
+
 def run(
     spark: SparkSession,
     raw_dir: str,
@@ -52,8 +69,8 @@ def run(
     """Publish the model if every control passes, and return its tables and views.
 
     The controls are persisted before the gate, per `run_id` (the evaluation time if not given), so a
-    failed run leaves its evidence under `checks` and earlier runs stay readable beside it. In
-    `quarantine` mode rows that do not parse are set aside under `rejects`; the raw-to-clean count control
+    failed run leaves its evidence under `checks` and earlier runs stay readable beside it. The model is
+    written per run too, and becomes the current one when all its tables are there. In `quarantine` mode rows that do not parse are set aside under `rejects`; the raw-to-clean count control
     then reports them. In `strict` mode they end the run.
     """
     raw, raw_columns, clean = {}, {}, {}
@@ -80,7 +97,8 @@ def run(
 
     for name in DATASETS:
         files.write_extract(clean[name], f"{out_dir}/staging/{name}_clean.csv")
-    model = load_model(clean, f"{out_dir}/model")
+    model = load_model(clean, f"{out_dir}/model/run_id={run_id}")
+    _switch(spark, out_dir, run_id)
     published = {**model, "dq_check_result": results, **views.model_views(model, results)}
     views.install(spark, published)
     return published

@@ -39,6 +39,19 @@ def test_publication(spark, published):
     assert ("2026-09-01", "ERP", "2", "1299.99", "USD") in rows(staged)
 
 
+def test_the_model_of_the_last_finished_run_is_current(spark, published, tmp_path):
+    base, out = published
+    current = publication.current_model(spark, str(base / "out"))
+    assert set(current) == set(publication.MODEL)
+    for name, df in current.items():
+        assert rows(df) == rows(out[name])
+    with pytest.raises(LookupError):
+        publication.current_model(spark, str(tmp_path))
+    # Another run's tables without its switch are not seen.
+    files.write_governed(spark.range(1), str(base / "out" / "model" / "run_id=later" / "dim_date"))
+    assert rows(publication.current_model(spark, str(base / "out"))["dim_date"]) == rows(out["dim_date"])
+
+
 def test_exploration(published):
     _, out = published
     found = exploration.run(out, out["dq_check_result"])
@@ -82,7 +95,10 @@ def test_governance_opens_incidents_once(spark, published, tmp_path):
         bad = governance.run(spark, frames, RULES, str(tmp_path / "bad"), stale, AT)
     assert rows(spark.sql("SELECT incident_id, failed_rows FROM vw_open_data_incidents")) == [("INC-SO_FRESHNESS-20260909", 4)]
     assert ("HIGH", "Commerce Data Engineering", "FAIL", 1, 4) in rows(spark.sql("SELECT * FROM vw_governed_rule_status"))
-    governance.run(spark, frames, RULES, str(tmp_path / "bad"), dt.date(2026, 9, 10), AT)
+    governance.run(spark, frames, RULES, str(tmp_path / "bad"), dt.date(2026, 9, 10), AT, run_id="next day")
+    for table, n in (("rule_result", 6), ("column_profile", 16)):
+        kept = spark.read.parquet(str(tmp_path / "bad" / table)).groupBy("run_id").count()
+        assert rows(kept) == [("20260905T060300", n), ("next day", n)]
     assert spark.read.parquet(str(tmp_path / "bad" / "incident")).count() == 2
     assert rules.open_incidents(bad["governed_incident"]).count() >= 1
 
