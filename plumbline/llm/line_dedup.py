@@ -1,9 +1,13 @@
 """Line dedup by pairwise alignment.
 
-Texts overlap when they share the hash of a line with enough words. Every such line links each later text to the first
-text that holds it, so the rarer a line, the fewer its links, and a line in n texts gives n - 1 links, never all pairs.
-Linked texts are aligned with patience diff over their line hashes, and the aligned common blocks are deleted from the
-later one, when a block has a line with enough words. Only hashes travel until then; identical texts are one.
+Texts overlap when they share the hash of a line with enough words. Overlapping texts are aligned with patience diff over
+their line hashes, and the aligned common blocks are deleted from the later one, when a block has a line with enough
+words. Only hashes travel until then; identical texts are one.
+
+The result is that of aligning every text with every earlier one it overlaps; a pair that can't delete more is left out.
+Each line first links every later text to the first text that holds it, n - 1 links for a line in n texts. A line that
+is still there after that links its text to some more holders, in the last round to all earlier ones, so only lines of
+which the alignments keep failing (repeated in the text, or in another order) cost all their pairs.
 
 Texts are ordered by least identifier (null ones last), then digest. A later row with the text of an earlier one loses
 all of it, unless no line has enough words: such texts are never changed.
@@ -14,9 +18,11 @@ results; an empty table gives an empty result. Other columns pass through.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +33,60 @@ from plumbline.llm.common import Scratch, arrow_map, packed, whole
 
 #: Words that make a line evidence of overlap.
 WORDS = 5
+#: Size that makes consecutive lines evidence.
+ENOUGH = 1
+#: Earlier holders that a line still there links its text to, round by round before all of them.
+HOLDERS = (8, 64)
+_PRIME, _BASE = (1 << 61) - 1, 0x1B873593CC9E2D51
 
 
-def line_hashes(text: bytes | None) -> tuple[list[int], list[int]]:
-    """Hash of every line, and the distinct ones of lines with enough words. White space at line ends doesn't count."""
-    digest, hashes, seeds = xxhash.xxh64_digest, [], set()
+def lines_of(text: bytes | None) -> tuple[list[int], list[int]]:
+    """Hash and size of every line. White space at line ends doesn't count."""
+    digest, hashes, sizes = xxhash.xxh64_digest, [], []
     for line in (text or b"").split(b"\n"):
         line = line.strip()
-        h = int.from_bytes(digest(line), "big", signed=True)
-        hashes.append(h)
-        if line.count(b" ") >= WORDS - 1 and len(line.split()) >= WORDS:
-            seeds.add(h)
-    return hashes, sorted(seeds)
+        hashes.append(int.from_bytes(digest(line), "big", signed=True))
+        sizes.append(int(line.count(b" ") >= WORDS - 1 and len(line.split()) >= WORDS))
+    return hashes, sizes
+
+
+def seeds_of(hashes: list[int], sizes: list[int]) -> set[int]:
+    """The lines with enough words."""
+    return {h for h, size in zip(hashes, sizes) if size >= ENOUGH}
+
+
+def line_hashes(text: bytes | None) -> tuple[list[int], list[int]]:
+    """Hash of every line, and the distinct ones of lines with enough words. White space at line ends doesn't count."""
+    hashes, sizes = lines_of(text)
+    return hashes, sorted(seeds_of(hashes, sizes))
+
+
+def keys(hashes: list[int], sizes: list[int], places: Iterable[int] | None = None) -> set[int]:
+    """Hashes of the least runs of lines that are evidence and hold one of the places (by default any).
+
+    A block deleted at a place holds such a run around it, so a text without any of its keys can't delete it.
+    """
+    total = list(accumulate(sizes, initial=0))
+    solid = [i for i, size in enumerate(sizes) if size]
+    sums = powers = None
+    out = set()
+    for p in range(len(hashes)) if places is None else places:
+        if sizes[p] >= ENOUGH:
+            out.add(hashes[p])
+            continue
+        if sums is None:
+            sums = list(accumulate(hashes, lambda s, h: (s * _BASE + h) % _PRIME, initial=1))
+            powers = list(accumulate(hashes, lambda s, _: s * _BASE % _PRIME, initial=1))
+        end, after, last = p, bisect_right(solid, p), -1
+        while True:
+            start = min(p, bisect_right(total, total[end + 1] - ENOUGH) - 1)
+            if start > last:
+                out.add((sums[end + 1] - sums[start] * powers[end + 1 - start]) % _PRIME)
+                last = start
+            if start == p or after == len(solid):
+                break
+            end, after = solid[after], after + 1
+    return out
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -105,63 +153,117 @@ def common_blocks(a: list[int], b: list[int], seeds: set[int]) -> list[int]:
 
 
 def _texts(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
-    """One row per distinct text: tid, digest, first_id, hashes, seeds."""
+    """One row per distinct text: text (its place in the order, and tid), tid, digest, first_id, hashes, sizes, keys."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.int64())
         for batch in batches:
-            found = [line_hashes(x.as_py()) for x in batch.column("text").cast(pa.binary())]
-            columns = [batch.column("doc_id"), batch.column("digest"), *(pa.array([f[i] for f in found], kind) for i in (0, 1))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "hashes", "seeds"])
+            found = [lines_of(x.as_py()) for x in batch.column("text").cast(pa.binary())]
+            columns = [
+                pa.array([f[0] for f in found], pa.list_(pa.int64())),
+                pa.array([f[1] for f in found], pa.list_(pa.int8())),
+                pa.array([sorted(keys(*f)) for f in found], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), *columns], ["doc_id", "digest", "hashes", "sizes", "keys"])
 
     text = whole(text_col)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.sha2(text.cast("binary"), 256).alias("digest"), text.alias("text"))
-    lined = arrow_map(rows, of_batches, "doc_id long, digest string, hashes array<bigint>, seeds array<bigint>")
-    one = lined.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("hashes").alias("hashes"), F.first("seeds").alias("seeds"))
-    return scratch.keep(one.select(F.monotonically_increasing_id().alias("tid"), "*"), "texts", collect=True)
+    lined = arrow_map(rows, of_batches, "doc_id long, digest string, hashes array<bigint>, sizes array<tinyint>, keys array<bigint>")
+    one = lined.groupBy("digest").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("hashes", "sizes", "keys")])
+    one = scratch.keep(one.select(F.monotonically_increasing_id().alias("tid"), "*"), "texts", collect=True)
+    return one.withColumn("text", F.struct(F.col("first_id").isNull().alias("none"), "first_id", "digest", "tid"))
 
 
-def links(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """Distinct (later, earlier) pairs of texts: each shared line links a text to the first one that holds it."""
-    order = F.struct(F.col("first_id").isNull().alias("none"), "first_id", "digest", "tid")
-    held = texts.select(F.explode("seeds").alias("line"), order.alias("text"))
+def _shared(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(line, text, n, first) for the keys that n > 1 texts hold, once for each of them."""
+    held = texts.select(F.explode("keys").alias("line"), "text")
     first = held.groupBy("line").agg(F.min("text").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # Written, so that Spark can split a hot line in the join.
-    first = scratch.keep(first.select("line", F.col("first.tid").alias("earlier")), "first")
-    shared = texts.select(F.explode("seeds").alias("line"), "tid").join(first, "line").where("tid <> earlier")
-    return shared.select(F.col("tid").alias("later"), "earlier").distinct()
+    first = scratch.keep(first.select("line", "n", F.col("first.tid").alias("first")), "first")
+    return scratch.keep(held.join(first, "line"), "shared")
+
+
+def _open(texts: DataFrame, shared: DataFrame, gone: DataFrame) -> DataFrame:
+    """(line, n, text): the shared keys around places that are not deleted, of all texts but the first holders."""
+    mine = shared.where("text.tid <> first").groupBy("text.tid").agg(F.collect_list(F.struct("line", "n")).alias("lines"))
+    rows = texts.select("tid", "text", "hashes", "sizes").join(mine, "tid").join(gone, "tid", "left")
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, lines, counts = [], [], []
+            for i, (hashes, sizes, held, lost) in enumerate(zip(*[batch.column(c) for c in ("hashes", "sizes", "lines", "gone")])):
+                hashes, lost = hashes.as_py(), set(lost.as_py() or ())
+                left = keys(hashes, sizes.as_py(), [p for p in range(len(hashes)) if p not in lost])
+                for x in held.as_py():
+                    if x["line"] in left:
+                        of.append(i)
+                        lines.append(x["line"])
+                        counts.append(x["n"])
+            columns = [pa.array(lines, pa.int64()), pa.array(counts, pa.int64()), batch.column("text").take(pa.array(of, pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["line", "n", "text"])
+
+    return arrow_map(rows, of_batches, shared.select("line", "n", "text").schema)
 
 
 def _deleted(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """(tid, gone): places of deleted lines of every text that loses some."""
     earlier = texts.select(F.col("tid").alias("earlier"), F.col("hashes").alias("a"))
-    later = texts.select(F.col("tid").alias("later"), F.col("hashes").alias("b"), F.col("seeds").alias("s"))
+    later = texts.select(F.col("tid").alias("later"), F.col("hashes").alias("b"), F.col("sizes").alias("s"))
     both = pairs.join(earlier, "earlier").join(later, "later").select("later", "a", "b", "s")
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone = [
-                common_blocks(a.as_py(), b.as_py(), set(s.as_py()))
-                for a, b, s in zip(batch.column("a"), batch.column("b"), batch.column("s"))
-            ]
+            gone = []
+            for a, b, s in zip(batch.column("a"), batch.column("b"), batch.column("s")):
+                b = b.as_py()
+                gone.append(common_blocks(a.as_py(), b, seeds_of(b, s.as_py())))
             yield pa.RecordBatch.from_arrays([batch.column("later"), pa.array(gone, pa.list_(pa.int32()))], ["tid", "gone"])
 
-    aligned = arrow_map(both, of_batches, "tid long, gone array<int>").where(F.size("gone") > 0)
-    return aligned.groupBy("tid").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+    return _joined(arrow_map(both, of_batches, "tid long, gone array<int>").where(F.size("gone") > 0))
+
+
+def _joined(gone: DataFrame) -> DataFrame:
+    """One row per tid. Sets are merged as they come, so that a text with many partners doesn't hold all their lists."""
+    each = gone.select("tid", F.explode("gone").alias("place")).distinct()
+    return each.groupBy("tid").agg(F.collect_list("place").alias("gone"))
+
+
+def _all_deleted(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(tid, gone) as from the alignment of all overlapping pairs."""
+    shared = _shared(texts, scratch)
+    pairs = shared.where("text.tid <> first").select(F.col("text.tid").alias("later"), F.col("first").alias("earlier")).distinct()
+    pairs = scratch.keep(pairs, "links", collect=True)
+    gone = scratch.keep(_deleted(texts, pairs), "gone", collect=True)
+    done, few = [pairs], 2 * texts.count()
+    for holders in (*HOLDERS, None):
+        left = scratch.keep(_open(texts, shared, gone), "open", collect=True)
+        links = left.agg(F.sum("n")).first()[0]
+        if not links:
+            break
+        if links <= few:
+            holders = None
+        by = shared.select("line", F.col("text").alias("before"))
+        if holders:
+            by = by.groupBy("line", F.pmod(F.xxhash64("before.tid"), F.lit(holders))).agg(F.min("before").alias("before")).select("line", "before")
+        new = left.join(by, "line").where("before < text").select(F.col("text.tid").alias("later"), F.col("before.tid").alias("earlier")).distinct()
+        pairs = scratch.keep(new.join(reduce(DataFrame.unionByName, done), ["later", "earlier"], "left_anti"), "links", collect=True)
+        done.append(pairs)
+        gone = scratch.keep(_joined(gone.unionByName(_deleted(texts, pairs))), "gone", collect=True)
+        if not holders:
+            break
+    return gone
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of `docs` as struct `row`, with n_lines, n_removed and the text that is left as `kept`."""
     scratch = Scratch(docs.sparkSession, "lines")
     texts = _texts(docs, scratch, id_col, text_col)
-    pairs = scratch.keep(links(texts, scratch), "links", collect=True)
-    gone = _deleted(texts, pairs)
-    seen = texts.select("tid", "digest", "first_id", F.size("seeds").alias("n_seeds")).join(gone, "tid", "left")
-    seen = scratch.keep(seen.drop("tid").withColumnRenamed("digest", "of_digest"), "gone", collect=True)
+    gone = _all_deleted(texts, scratch)
+    seen = texts.select("tid", "digest", "first_id", F.size("keys").alias("n_keys")).join(gone, "tid", "left")
+    seen = scratch.keep(seen.drop("tid").withColumnRenamed("digest", "of_digest"), "seen", collect=True)
     rows = docs.select(
         packed(docs).alias("row"), whole(text_col).alias("text"), F.sha2(whole(text_col).cast("binary"), 256).alias("digest"), F.col(f"`{id_col}`").cast("long").alias("id")
     )
-    again = (F.col("n_seeds") > 0) & ~F.col("id").eqNullSafe(F.col("first_id"))
+    again = (F.col("n_keys") > 0) & ~F.col("id").eqNullSafe(F.col("first_id"))
     joined = rows.join(seen, F.col("digest") == F.col("of_digest")).select("row", "text", "gone", again.alias("again"))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

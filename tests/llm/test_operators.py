@@ -355,6 +355,44 @@ def test_line_dedup(spark):
     assert got(line_dedup.dedup(df).select("row.doc_id", "n_lines", "kept")) == brute_lines(edge_rows())
 
 
+def brute_all_pairs(data):
+    """Every text aligned with every earlier one that shares a line: (doc_id, what is left) of distinct texts."""
+    lines, out = [], {}
+    for i, t in data:
+        hashes, seeds = line_dedup.line_hashes(t.encode())
+        gone = set()
+        for before, shared in lines:
+            if shared & set(seeds):
+                gone.update(line_dedup.common_blocks(before, hashes, set(seeds)))
+        lines.append((hashes, set(seeds)))
+        out[i] = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone)
+    return out
+
+
+def kept_lines(spark, data):
+    return {r.doc_id: r.kept for r in line_dedup.dedup(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).select("row.doc_id", "kept").collect()}
+
+
+def test_line_dedup_aligns_later_holders(spark):
+    p, q = "this passage is the first of two", "that passage is the second of two"
+    repeated = [(0, f"a\n{p}\nb\n{p}\nc"), (1, f"d\n{p}\ne"), (2, f"f\n{p}\ng"), (3, f"h\n{p}\ni")]
+    assert kept_lines(spark, repeated) == {0: repeated[0][1], 1: repeated[1][1], 2: "f\ng", 3: "h\ni"}
+    crossed = [(0, f"a\n{p}\nb\n{q}\nc"), (1, f"d\n{q}\ne\n{p}\nf"), (2, f"g\n{q}\nh\n{p}\ni")]
+    assert kept_lines(spark, crossed) == brute_all_pairs(crossed) and kept_lines(spark, crossed)[2] == "g\nh\ni"
+
+
+@pytest.mark.parametrize("holders", [(), (2, 3)])
+def test_line_dedup_is_that_of_all_pairs(spark, monkeypatch, holders):
+    rng = random.Random(12)
+    long_ = [f"the line number {i} that has words enough" for i in range(12)]
+    data = []
+    for i in range(150):
+        lines = rng.choices([*long_, "", "short", "of words", f"own line {i}"], k=rng.randint(1, 9))
+        data.append((i, "\n".join([f"start {i}", *lines, f"end {i}"])))
+    monkeypatch.setattr(line_dedup, "HOLDERS", holders)
+    assert kept_lines(spark, data) == brute_all_pairs(data)
+
+
 # --- language ID ----------------------------------------------------------------------------------
 
 
