@@ -1,8 +1,9 @@
 """Line dedup by pairwise alignment.
 
-Texts overlap when they share the hash of a line with enough words. Overlapping texts are aligned with patience diff over
-their line hashes, and the aligned common blocks are deleted from the later one, when a block has a line with enough
-words. Only hashes travel until then; identical texts are one.
+Texts overlap when they share consecutive lines of enough words: a line that has them, or a run of shorter ones. In
+scripts without spaces two characters count as a word, and two words without a letter or digit as one. Overlapping texts
+are aligned with patience diff over their line hashes, and the aligned common blocks of enough words are deleted from the
+later one. Only hashes travel until then; identical texts are one.
 
 The result is that of aligning every text with every earlier one it overlaps; a pair that can't delete more is left out.
 Each line first links every later text to the first text that holds it, n - 1 links for a line in n texts. A line that
@@ -10,7 +11,7 @@ is still there after that links its text to some more holders, in the last round
 which the alignments keep failing (repeated in the text, or in another order) cost all their pairs.
 
 Texts are ordered by least identifier (null ones last), then digest. A later row with the text of an earlier one loses
-all of it, unless no line has enough words: such texts are never changed.
+all of it, however short.
 
 Defined results: a null text is empty; rows with the same identifier and text count as one document and get equal
 results; an empty table gives an empty result. Other columns pass through.
@@ -18,6 +19,7 @@ results; an empty table gives an empty result. Other columns pass through.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -31,13 +33,27 @@ from pyspark.sql import DataFrame, functions as F
 
 from plumbline.llm.common import Scratch, arrow_map, packed, whole
 
-#: Words that make a line evidence of overlap.
+#: Words that make consecutive lines evidence of overlap, and their size: two for a word.
 WORDS = 5
-#: Size that makes consecutive lines evidence.
-ENOUGH = 1
+ENOUGH = 2 * WORDS
 #: Earlier holders that a line still there links its text to, round by round before all of them.
 HOLDERS = (8, 64)
 _PRIME, _BASE = (1 << 61) - 1, 0x1B873593CC9E2D51
+_BLANK = int.from_bytes(xxhash.xxh64_digest(b""), "big", signed=True)
+_LETTER = re.compile(rb"[0-9A-Za-z\x80-\xff]")
+#: Thai, Lao, Myanmar, Khmer, kana and Han characters.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+def size_of(line: bytes) -> int:
+    """Twice the words of a line, up to ENOUGH; only a blank line has none."""
+    words = line.split()
+    if len(words) >= WORDS:
+        return ENOUGH
+    size = sum(2 if _LETTER.search(w) else 1 for w in words)
+    if not line.isascii():
+        size = max(size, len(_UNSPACED.findall(line.decode(errors="ignore"))))
+    return min(size, ENOUGH)
 
 
 def lines_of(text: bytes | None) -> tuple[list[int], list[int]]:
@@ -46,19 +62,38 @@ def lines_of(text: bytes | None) -> tuple[list[int], list[int]]:
     for line in (text or b"").split(b"\n"):
         line = line.strip()
         hashes.append(int.from_bytes(digest(line), "big", signed=True))
-        sizes.append(int(line.count(b" ") >= WORDS - 1 and len(line.split()) >= WORDS))
+        sizes.append(size_of(line))
     return hashes, sizes
 
 
+def _run(so_far: int, line: int) -> int:
+    return (so_far * _BASE + line) % _PRIME
+
+
 def seeds_of(hashes: list[int], sizes: list[int]) -> set[int]:
-    """The lines with enough words."""
-    return {h for h, size in zip(hashes, sizes) if size >= ENOUGH}
+    """The least evidence: lines with enough words, and of each shorter line the run from it that has them, without blanks."""
+    out = set()
+    solid = [(h, size) for h, size in zip(hashes, sizes) if size]
+    for at, (line, size) in enumerate(solid):
+        if size >= ENOUGH:
+            out.add(line)
+            continue
+        run, total = 1, 0
+        for line, size in solid[at : at + ENOUGH]:
+            run, total = _run(run, line), total + size
+            if total >= ENOUGH:
+                out.add(run)
+                break
+    return out
 
 
 def line_hashes(text: bytes | None) -> tuple[list[int], list[int]]:
-    """Hash of every line, and the distinct ones of lines with enough words. White space at line ends doesn't count."""
+    """Hash of every line, and the distinct seeds; a text without one, if not empty, has itself. White space at line ends doesn't count."""
     hashes, sizes = lines_of(text)
-    return hashes, sorted(seeds_of(hashes, sizes))
+    seeds = sorted(seeds_of(hashes, sizes))
+    if text and not seeds:
+        seeds = [xxhash.xxh3_64_intdigest(text) >> 1]
+    return hashes, seeds
 
 
 def keys(hashes: list[int], sizes: list[int], places: Iterable[int] | None = None) -> set[int]:
@@ -137,14 +172,21 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _holds(block: list[int], seeds: set[int]) -> bool:
+    if not seeds.isdisjoint(block):
+        return True
+    solid = [h for h in block if h != _BLANK]
+    return any(not seeds.isdisjoint(accumulate(solid[at : at + ENOUGH], _run, initial=1)) for at in range(len(solid)))
+
+
 def common_blocks(a: list[int], b: list[int], seeds: set[int]) -> list[int]:
-    """Lines of b in aligned blocks that hold a seed. A block is consecutive in both."""
+    """Lines of b in aligned blocks that hold a seed: a line or a run of them. A block is consecutive in both."""
     out: list[int] = []
     block: list[int] = []
     last = (-2, -2)
     for i, j in [*patience(a, b), (-9, -9)]:
         if (i, j) != (last[0] + 1, last[1] + 1):
-            if any(b[k] in seeds for k in block):
+            if _holds([b[k] for k in block], seeds):
                 out += block
             block = []
         block.append(j)
@@ -258,12 +300,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     scratch = Scratch(docs.sparkSession, "lines")
     texts = _texts(docs, scratch, id_col, text_col)
     gone = _all_deleted(texts, scratch)
-    seen = texts.select("tid", "digest", "first_id", F.size("keys").alias("n_keys")).join(gone, "tid", "left")
+    seen = texts.select("tid", "digest", "first_id").join(gone, "tid", "left")
     seen = scratch.keep(seen.drop("tid").withColumnRenamed("digest", "of_digest"), "seen", collect=True)
     rows = docs.select(
         packed(docs).alias("row"), whole(text_col).alias("text"), F.sha2(whole(text_col).cast("binary"), 256).alias("digest"), F.col(f"`{id_col}`").cast("long").alias("id")
     )
-    again = (F.col("n_keys") > 0) & ~F.col("id").eqNullSafe(F.col("first_id"))
+    again = (F.col("text") != "") & ~F.col("id").eqNullSafe(F.col("first_id"))
     joined = rows.join(seen, F.col("digest") == F.col("of_digest")).select("row", "text", "gone", again.alias("again"))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

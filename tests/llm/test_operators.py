@@ -393,6 +393,22 @@ def test_line_dedup_is_that_of_all_pairs(spark, monkeypatch, holders):
     assert kept_lines(spark, data) == brute_all_pairs(data)
 
 
+def test_line_dedup_of_short_lines(spark):
+    verse = "\n".join(f"verse of {i}" for i in range(40))
+    chinese, thai, code = "\n".join("今天天气很好" + "啊" * i for i in range(1, 6)), "สวัสดีชาวโลก", "f(x)\n{\n\ny = 2\nreturn y"
+    data = [(0, f"a\n{verse}"), (1, f"b\n{verse}\nc"), (2, f"d\n{chinese}"), (3, f"e\n{chinese}\nf"), (4, f"g\n{thai}"), (5, f"h\n{thai}\ni")]
+    data += [(6, f"j\n{code}"), (7, f"k\n{code}\nl"), (8, "ok"), (9, "ok"), (10, "m\nok"), (11, "n\nok"), (12, ""), (13, "")]
+    left = {1: "b\nc", 3: "e\nf", 5: "h\ni", 7: "k\nl", 9: ""}
+    assert kept_lines(spark, data) == {i: left.get(i, t) for i, t in data}
+
+
+def test_line_dedup_of_short_lines_is_that_of_all_pairs(spark):
+    rng = random.Random(13)
+    lines = ["", "a b", "c d", "e", "f g h", "}", "i j k l", "天气很好", "one line of five words"]
+    data = [(i, "\n".join([f"start{i}", *rng.choices(lines, k=rng.randint(1, 12)), f"end{i}"])) for i in range(150)]
+    assert kept_lines(spark, data) == brute_all_pairs(data)
+
+
 # --- language ID ----------------------------------------------------------------------------------
 
 
