@@ -4,8 +4,8 @@ The posterior of a language is in proportion to
 
     text likelihood x P(declared markup language | language) x P(address suffix | language) x prior of the host.
 
-* Text: byte trigrams of lower-cased letters in `BINS` hashed bins, multinomial with additive smoothing, fitted on at
-  most `FIT_ROWS` labelled rows. Neighbouring trigrams are not independent, so the sum of a text's log-likelihoods is
+* Text: byte trigrams of lower-cased letters in `BINS` hashed bins, multinomial with additive smoothing, fitted on about
+  `FIT_ROWS` different texts of each label at most. Neighbouring trigrams are not independent, so the sum of a text's log-likelihoods is
   brought down to that of `INDEPENDENT` trigrams.
 * Declared language and address suffix: right with a stated probability, otherwise any other language; absent or
   unknown, they say nothing.
@@ -13,7 +13,7 @@ The posterior of a language is in proportion to
   two labels) to the host. A row's own vote is left out of its host's and domain's counts.
 
 `und` is an outcome beside the languages: no letters, or a text that a uniform model explains better than every
-language's does by a margin. Rows with it are rejected.
+language's does by a margin, unless the row declares a language that has no model. Rows with it are rejected.
 
 Defined results: a null text is empty and `und`; a null host counts as an empty one; repeated rows each get a row; an
 empty table gives an empty result; without labelled rows every row is `und`. Other columns pass through.
@@ -26,12 +26,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline.llm.common import Scratch, arrow_map, packed, whole
 
-#: Labelled rows that the text model is fitted on, and languages it may have; both bound what reaches the driver.
-FIT_ROWS, LANGUAGES = 4000, 64
+#: Different texts of a label that its model is fitted on. Labels beyond LANGUAGES are an error: the driver holds a model of each.
+FIT_ROWS, LANGUAGES = 4000, 512
 BINS = 1 << 15
 SMOOTHING, INDEPENDENT = 0.5, 40.0
 #: Log-likelihood for each trigram by which the uniform model has to win.
@@ -75,11 +76,18 @@ class Model:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", rows: int = FIT_ROWS) -> Model:
-    """Text model from at most about `rows` different texts, drawn by a hash of their content; copies count once."""
+    """Text model from at most about `rows` different texts of each label, drawn by a hash of their content; copies count once."""
     usable = labelled.select(whole(text_col).alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).where("lang IS NOT NULL")
-    total = labelled.count()
-    parts = max(1, -(-total // rows))
-    drawn = (usable.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == 0) if parts > 1 else usable).distinct()
+    usable = usable.where(F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]")).withColumn("h", F.xxhash64("text"))
+    sizes = usable.select("lang", "h").distinct().groupBy("lang").count().limit(LANGUAGES + 1).collect()
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} labels in {lang_col}")
+    drawn = usable
+    large = [x for r in sizes if r["count"] > rows for x in (F.lit(r["lang"]), F.lit(r["count"]))]
+    if large:
+        size = F.coalesce(F.try_element_at(F.create_map(*large), F.col("lang")), F.lit(1))
+        drawn = usable.where(F.pmod("h", size) < rows)
+    drawn = drawn.select("text", "lang").distinct()
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -93,11 +101,11 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", row
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(held[at])], ["lang", "bin", "n"])
 
     counted = arrow_map(drawn, of_batches, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
-    size = counted.groupBy("lang").agg(F.sum("n").alias("size")).orderBy(F.desc("size"), "lang").limit(LANGUAGES)
-    languages = sorted(r.lang for r in size.collect())
+    found = counted.toArrow()
+    languages = sorted(set(found.column("lang").to_pylist()))
     table = np.full((BINS, len(languages)), SMOOTHING)
-    for r in counted.where(F.col("lang").isin(languages)).collect():
-        table[r.bin, languages.index(r.lang)] += r.n
+    which = np.array(pa.compute.index_in(found.column("lang"), pa.array(languages, pa.string())), np.int64)
+    table[found.column("bin").to_numpy(), which] += found.column("n").to_numpy()
     return Model(languages, np.log(table / table.sum(axis=0)).astype(np.float32))
 
 
@@ -123,7 +131,8 @@ def visible_text(html: Column) -> Column:
 
 
 def _index(value: Column, languages: list[str]) -> Column:
-    return F.coalesce(*[F.when(value == lang, F.lit(i)) for i, lang in enumerate(languages)], F.lit(-1))
+    places = F.create_map(*[x for i, lang in enumerate(languages) for x in (F.lit(lang), F.lit(i))])
+    return F.coalesce(F.try_element_at(places, value), F.lit(-1))
 
 
 def _says(index: Column, right: float, languages: int) -> list[Column]:
@@ -141,9 +150,10 @@ def evidence(rows: DataFrame, model: Model) -> DataFrame:
         uniform = -np.log(BINS)
         for batch in batches:
             und, logs = [], []
-            for text in batch.column("text").cast(pa.binary()):
+            for text, said in zip(batch.column("text").cast(pa.binary()), batch.column("declared").to_pylist()):
                 n, sums = sent.value.text(text.as_py())
-                und.append(n == 0 or max(sums) / n < uniform - MARGIN)
+                fitted = said is None or said in sent.value.languages
+                und.append(n == 0 or fitted and max(sums) / n < uniform - MARGIN)
                 scale = min(1.0, INDEPENDENT / n) if n else 0.0
                 logs.append([s * scale for s in sums])
             kept = [batch.column(c) for c in ("row", "host", "declared", "suffix")]
@@ -151,15 +161,16 @@ def evidence(rows: DataFrame, model: Model) -> DataFrame:
 
     schema = rows.select("row", "host", "declared", "suffix").schema.add("und", "boolean").add("logs", T.ArrayType(T.DoubleType()))
     read = arrow_map(rows.select("row", "host", "declared", "suffix", "text"), of_batches, schema)
-    said = zip(_says(_index(F.col("declared"), languages), DECLARED, len(languages)), _says(_index(F.col("suffix"), languages), SUFFIX, len(languages)))
+    read = read.withColumns({f"{c}_at": _index(F.col(c), languages) for c in ("declared", "suffix")})
+    said = zip(_says(F.col("declared_at"), DECLARED, len(languages)), _says(F.col("suffix_at"), SUFFIX, len(languages)))
     sums = [(F.get("logs", F.lit(i)) + d + s).alias(f"l{i}") for i, (d, s) in enumerate(said)]
     out = read.select("row", "host", "und", *sums)
     return out.withColumn("vote", F.when(F.col("und"), -1).otherwise(_best([F.col(f"l{i}") for i in range(len(languages))])))
 
 
 def _best(scores: list[Column]) -> Column:
-    top = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    return F.coalesce(*[F.when(s == top, F.lit(i)) for i, s in enumerate(scores)])
+    every = F.array(*scores)
+    return (F.array_position(every, F.array_max(every)) - 1).cast("int")
 
 
 def domain_of(host: Column) -> Column:
@@ -179,7 +190,10 @@ def host_priors(votes: DataFrame, languages: int) -> DataFrame:
 def posterior(evident: DataFrame, priors: DataFrame, languages: list[str]) -> DataFrame:
     """(row, language, confidence)."""
     size = len(languages)
+    voted = (F.col("vote") >= 0).cast("long")
     joined = evident.join(priors, "host")
+    # Columns of their own, so that the plan grows with the languages and not with their square.
+    joined = joined.withColumns({f"n_{x}": sum((F.col(f"{x}{i}") for i in range(1, size)), F.col(f"{x}0")) - (0 if x == "a" else voted) for x in "adh"})
 
     def counts(level: str) -> list[Column]:
         own = 0 if level == "a" else 1
@@ -187,13 +201,11 @@ def posterior(evident: DataFrame, priors: DataFrame, languages: list[str]) -> Da
 
     prior = [F.lit(1.0 / size)] * size
     for level in "adh":
-        here = counts(level)
-        total = sum(here[1:], here[0])
-        prior = [(n + WIDER * p) / (total + WIDER) for n, p in zip(here, prior)]
+        prior = [(n + WIDER * p) / (F.col(f"n_{level}") + WIDER) for n, p in zip(counts(level), prior)]
     step = joined.select("row", "und", *[(F.col(f"l{i}") + F.log(p)).alias(f"s{i}") for i, p in enumerate(prior)])
     scores = [F.col(f"s{i}") for i in range(size)]
-    best = _best(scores)
-    top = F.greatest(*scores) if size > 1 else scores[0]
+    best, top = _best(scores), F.col("top")
+    step = step.withColumn("top", F.greatest(*scores) if size > 1 else scores[0])
     mass = sum((F.exp(s - top) for s in scores[1:]), F.exp(scores[0] - top))
     return step.select(
         "row",
@@ -227,7 +239,8 @@ def keep_identified(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     """The rows of `docs` with a language, as they are: rows that come out as `und` go."""
     text = whole(text_col)
     row = F.struct(F.col(f"`{id_col}`").cast("long").alias("gone_id"), F.sha2(text.cast("binary"), 256).alias("gone_digest"))
-    declared = F.lower(F.substring(F.col(f"`{declared_col}`").cast("string"), 1, 2))
+    label = F.col(f"`{declared_col}`").cast("string")
+    declared = F.when(label.isin(model.languages), label).otherwise(F.lower(F.substring(label, 1, 2)))
     rows = docs.select(row.alias("row"), F.col(f"`{host_col}`").cast("string").alias("host"), text.alias("text"), declared.alias("declared"), F.lit(None).cast("string").alias("suffix"))
     scratch = Scratch(docs.sparkSession, "langid-out")
     gone = scratch.keep(identify(rows, model).where(F.col("language") == UNDETERMINED).select("row.*").distinct(), "gone")

@@ -450,6 +450,39 @@ def test_language_stage_keeps_clean_rows(spark):
     assert len(texts) >= sum(any(c.isalpha() for c in text_of(r)) for r in edge_rows()) - 6
 
 
+def spelled(number, digits="bcdfghjklm"):
+    return "".join(digits[int(d)] for d in str(number))
+
+
+def test_every_label_gets_a_model(spark):
+    docs = [(f"{spelled(100 + i)} word{spelled(k)}", f"l{i}") for i in range(70) for k in range(2)]
+    docs += [("ひらがなの文章です", "ja"), *[(f"the common text {spelled(k)}", "en") for k in range(300)]]
+    docs += [("the common text", "en")] * 300 + [("the unlabelled text", None)] * 2000
+    model = langid.fit(spark.createDataFrame(docs, "text string, lang string").repartition(3), rows=50)
+    assert model.languages == sorted({lang for _, lang in docs if lang})
+    said = model.languages[int(np.argmax(model.text("ひらがなの文章".encode())[1]))]
+    assert said == "ja"
+
+
+def test_copies_and_unlabelled_rows_do_not_shrink_the_sample(spark):
+    docs = [(f"{spelled(k)}", "en") for k in range(100, 400)] + [("same", None)] * 3000
+    few, all_ = (langid.fit(spark.createDataFrame(docs, "text string, lang string").repartition(3), rows=n) for n in (300, 4000))
+    assert (few.logs == all_.logs).all()
+
+
+def test_too_many_labels_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2 labels"):
+        langid.fit(spark.createDataFrame([("a text", x) for x in "abc"], "text string, lang string"))
+
+
+def test_an_unfitted_declared_language_does_not_reject(spark):
+    model = langid.fit(spark.createDataFrame([(f"the common text of rows {spelled(k)}" * 20, "en") for k in range(300)], "text string, lang string"))
+    rows = [(1, "これは日本語の文章です" * 3, "ja", "x"), (2, "123", "ja", "x"), (3, "the common text", "en", "x")]
+    kept = langid.keep_identified(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), model)
+    assert {r.doc_id for r in kept.collect()} == {1, 3}
+
+
 # --- chat -----------------------------------------------------------------------------------------
 
 
