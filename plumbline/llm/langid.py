@@ -12,8 +12,10 @@ The posterior of a language is in proportion to
 * Host prior: grouped counts of what the first three say about every row, smoothed from all rows to the domain (last
   two labels) to the host. A row's own vote is left out of its host's and domain's counts.
 
-`und` is an outcome beside the languages: no letters, or a text that a uniform model explains better than every
-language's does by a margin, unless the row declares a language that has no model. Rows with it are rejected.
+`und` is an outcome beside the languages, with its own votes and prior. Its text likelihood is that of a uniform model,
+lowered by a margin; a declared language and an address suffix speak against it. Where it wins and the row declares a
+language that has no model, the answer is that language. A text without letters is `und` whatever the rest says, and
+doesn't vote. Rows with `und` are rejected.
 
 Defined results: a null text is empty and `und`; a null host counts as an empty one; repeated rows each get a row; an
 empty table gives an empty result; without labelled rows every row is `und`. Other columns pass through.
@@ -136,36 +138,41 @@ def _index(value: Column, languages: list[str]) -> Column:
 
 
 def _says(index: Column, right: float, languages: int) -> list[Column]:
-    """Log-probability of a declaration under each language."""
+    """Log-probability of a declaration under each language, and under none of them."""
     wrong = float(np.log((1 - right) / max(1, languages - 1)))
-    return [F.when(index < 0, 0.0).when(index == i, float(np.log(right))).otherwise(wrong) for i in range(languages)]
+    return [F.when(index < 0, 0.0).when(index == i, float(np.log(right))).otherwise(wrong) for i in range(languages + 1)]
 
 
 def evidence(rows: DataFrame, model: Model) -> DataFrame:
-    """(row, host, text, declared, suffix) to (row, host, und, vote, l0, l1, ...): log evidence without the host's."""
+    """(row, host, text, declared, suffix) to (row, host, other, empty, vote, l0, l1, ...): log evidence without the host's.
+
+    The last one is of no fitted language; `other` is what that means, `und` or the declared language.
+    """
     languages = model.languages
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uniform = -np.log(BINS)
         for batch in batches:
-            und, logs = [], []
+            other, empty, logs = [], [], []
             for text, said in zip(batch.column("text").cast(pa.binary()), batch.column("declared").to_pylist()):
                 n, sums = sent.value.text(text.as_py())
                 fitted = said is None or said in sent.value.languages
-                und.append(n == 0 or fitted and max(sums) / n < uniform - MARGIN)
+                other.append(UNDETERMINED if fitted else said)
+                empty.append(n == 0)
                 scale = min(1.0, INDEPENDENT / n) if n else 0.0
-                logs.append([s * scale for s in sums])
+                logs.append([s * scale for s in (*sums, n * (uniform - MARGIN))])
             kept = [batch.column(c) for c in ("row", "host", "declared", "suffix")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(und), pa.array(logs, pa.list_(pa.float64()))], ["row", "host", "declared", "suffix", "und", "logs"])
+            found = [pa.array(other, pa.string()), pa.array(empty, pa.bool_()), pa.array(logs, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*kept, *found], ["row", "host", "declared", "suffix", "other", "empty", "logs"])
 
-    schema = rows.select("row", "host", "declared", "suffix").schema.add("und", "boolean").add("logs", T.ArrayType(T.DoubleType()))
+    schema = rows.select("row", "host", "declared", "suffix").schema.add("other", "string").add("empty", "boolean").add("logs", T.ArrayType(T.DoubleType()))
     read = arrow_map(rows.select("row", "host", "declared", "suffix", "text"), of_batches, schema)
     read = read.withColumns({f"{c}_at": _index(F.col(c), languages) for c in ("declared", "suffix")})
     said = zip(_says(F.col("declared_at"), DECLARED, len(languages)), _says(F.col("suffix_at"), SUFFIX, len(languages)))
     sums = [(F.get("logs", F.lit(i)) + d + s).alias(f"l{i}") for i, (d, s) in enumerate(said)]
-    out = read.select("row", "host", "und", *sums)
-    return out.withColumn("vote", F.when(F.col("und"), -1).otherwise(_best([F.col(f"l{i}") for i in range(len(languages))])))
+    out = read.select("row", "host", "other", "empty", *sums)
+    return out.withColumn("vote", F.when(F.col("empty"), -1).otherwise(_best([F.col(f"l{i}") for i in range(len(sums))])))
 
 
 def _best(scores: list[Column]) -> Column:
@@ -189,7 +196,7 @@ def host_priors(votes: DataFrame, languages: int) -> DataFrame:
 
 def posterior(evident: DataFrame, priors: DataFrame, languages: list[str]) -> DataFrame:
     """(row, language, confidence)."""
-    size = len(languages)
+    size = len(languages) + 1
     voted = (F.col("vote") >= 0).cast("long")
     joined = evident.join(priors, "host")
     # Columns of their own, so that the plan grows with the languages and not with their square.
@@ -202,15 +209,15 @@ def posterior(evident: DataFrame, priors: DataFrame, languages: list[str]) -> Da
     prior = [F.lit(1.0 / size)] * size
     for level in "adh":
         prior = [(n + WIDER * p) / (F.col(f"n_{level}") + WIDER) for n, p in zip(counts(level), prior)]
-    step = joined.select("row", "und", *[(F.col(f"l{i}") + F.log(p)).alias(f"s{i}") for i, p in enumerate(prior)])
+    step = joined.select("row", "other", "empty", *[(F.col(f"l{i}") + F.log(p)).alias(f"s{i}") for i, p in enumerate(prior)])
     scores = [F.col(f"s{i}") for i in range(size)]
     best, top = _best(scores), F.col("top")
-    step = step.withColumn("top", F.greatest(*scores) if size > 1 else scores[0])
+    step = step.withColumn("top", F.greatest(*scores))
     mass = sum((F.exp(s - top) for s in scores[1:]), F.exp(scores[0] - top))
     return step.select(
         "row",
-        F.when(F.col("und"), UNDETERMINED).otherwise(F.get(F.array(*[F.lit(x) for x in languages]), best)).alias("language"),
-        F.when(F.col("und"), 0.0).otherwise(1 / mass).alias("confidence"),
+        F.when(F.col("empty"), UNDETERMINED).otherwise(F.get(F.array(*[F.lit(x) for x in languages], F.col("other")), best)).alias("language"),
+        F.when(F.col("empty"), 0.0).otherwise(1 / mass).alias("confidence"),
     )
 
 
@@ -222,7 +229,7 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
     rows = rows.withColumn("host", F.coalesce("host", F.lit("")))
     evident = scratch.keep(evidence(rows, model), "evidence")
     # Written, so that Spark sees their size and can split a hot host in the join.
-    priors = scratch.keep(host_priors(evident.select("host", "vote"), len(model.languages)), "priors")
+    priors = scratch.keep(host_priors(evident.select("host", "vote"), len(model.languages) + 1), "priors")
     return posterior(evident, priors, model.languages)
 
 

@@ -483,6 +483,27 @@ def test_an_unfitted_declared_language_does_not_reject(spark):
     assert {r.doc_id for r in kept.collect()} == {1, 3}
 
 
+def test_evidence_decides_on_undetermined_rows(spark):
+    """The same doubtful text stays on a clean host or when declared, and goes on a host of rejected rows."""
+    texts = [(f"the common text of rows {spelled(k)} " * 20, "en") for k in range(300)]
+    model = langid.fit(spark.createDataFrame(texts, "text string, lang string"))
+    junk = "zqxjv wkqzx vjxqz " * 20
+
+    def score(n):
+        found, sums = model.text(f"{'the common text of rows ' * 20}{junk * n}".encode())
+        return sums[0] / found + np.log(langid.BINS) + langid.MARGIN
+
+    n = next(n for n in range(1, 400) if score(n) < 0)
+    doubtful = f"{'the common text of rows ' * 20}{junk * n}"
+    assert -0.1 < score(n) < 0
+    docs = [(i, texts[i][0], None, "clean.org") for i in range(200)] + [(i, junk, None, "junk.net") for i in range(200, 400)]
+    docs += [(900, doubtful, None, "clean.org"), (901, doubtful, None, "junk.net"), (902, doubtful, "en", "clean.org"), (903, "これは日本語の文章です" * 5, "ja", "junk.net")]
+    kept = langid.keep_identified(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string"), model)
+    assert {r.doc_id for r in kept.collect()} == {*range(200), 900, 902, 903}
+    pages = spark.createDataFrame([(1, "http://a.jp/", "<html lang=ja><p>これは日本語の文章です</p>")], "page_id long, url string, html string")
+    assert langid.identify_pages(pages, model).first().language == "ja"
+
+
 # --- chat -----------------------------------------------------------------------------------------
 
 
