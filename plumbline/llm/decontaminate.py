@@ -16,6 +16,7 @@ benchmark no hits. Other columns pass through.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 from itertools import repeat
@@ -288,3 +289,39 @@ def _streamed(rows: DataFrame, automaton: Automaton) -> DataFrame:
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = 13, one_in: int = 20, text_col: str = "text") -> DataFrame:
     """The rows of `docs` that are not contaminated, as they are; those beyond the coverage limit go."""
     return contamination(docs, benchmark, window, one_in, text_col).where("NOT contaminated").select("row.*")
+
+
+def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """A text without spans of its words (ascending, ends exclusive). What stands between words around them stays."""
+    if not spans:
+        return text
+    places = [m.span() for m in re.finditer(rb"[^ ]+", text.translate(PLAIN))]
+    out, last = [], 0
+    for start, end in spans:
+        out.append(text[last : places[start][0]])
+        last = places[end - 1][1]
+    return b"".join([*out, text[last:]])
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, least: int = 13, one_in: int = 20, text_col: str = "text", **named) -> DataFrame:
+    """Rows of `docs` as struct `row`, with n_words, n_cut (words) and the text that is left as `cleaned`.
+
+    A maximal run of hit words is cut when it has at least `least` words; all runs of a text are when at least one in
+    `one_in` of its words is hit. Other arguments are those of `contamination`.
+    """
+    found = contamination(docs, benchmark, window, one_in, text_col, **named)
+    going = F.when(F.col("contaminated"), F.col("hits")).otherwise(F.filter("hits", lambda x: x["end"] - x["start"] >= least))
+    text = F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit(""))
+    rows = found.select("row", "n_words", text.alias("text"), going.alias("going"))
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, left = [], []
+            for text, going in zip(batch.column("text").cast(pa.binary()), batch.column("going")):
+                spans = [(x["start"], x["end"]) for x in going.as_py()]
+                counts.append(sum(b - a for a, b in spans))
+                left.append(cut(text.as_py(), spans).decode())
+            columns = [batch.column("row"), batch.column("n_words"), pa.array(counts, pa.int64()), pa.array(left, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "n_cut", "cleaned"])
+
+    return arrow_map(rows, of_batches, rows.select("row", "n_words").schema.add("n_cut", "long").add("cleaned", "string"))

@@ -220,6 +220,24 @@ def test_contamination_without_items_and_clean_rows(spark):
     assert kept.count() == sum(not brute_hits(text_of(r), ITEMS)[3] for r in edge_rows())
 
 
+def test_hit_spans_are_cut_out(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    long = " ".join(f"ünö{i}" for i in range(2000))
+    docs = [
+        (1, f"{long}\n«{passage.replace(' ', ', ').upper()}»\n{long}"), (2, f"{long} tiny item {long}"), (3, "a tiny item here"),
+        (4, passage), (5, "nothing of it"), (6, None), (7, f"{long} {passage} x {passage}"),
+    ]
+    bench = spark.createDataFrame([(1, passage), (2, "tiny item")], "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    expected = {2: (docs[1][1], 0), 3: ("a  here", 2), 4: ("", 30), 5: (docs[4][1], 0), 6: ("", 0), 7: (f"{long}  x ", 60)}
+    # A byte beyond ASCII belongs to a word, so the marks stay with the first and last words, which aren't hit.
+    expected[1] = (f"{long}\n«P0, , P29»\n{long}", 28)
+    assert {r.doc_id: (r.cleaned, r.n_cut) for r in decontaminate.clean(df, bench).select("row.doc_id", "cleaned", "n_cut").collect()} == expected
+    kept = decontaminate.clean(df, bench, least=31).select("row.doc_id", "cleaned").collect()
+    assert {r.doc_id: r.cleaned for r in kept} == {**{i: t or "" for i, t in docs}, 3: "a  here", 4: ""}
+    assert {r.doc_id for r in decontaminate.clean(df, bench, least=2).where("n_cut > 0").select("row.doc_id").collect()} == {1, 2, 3, 4, 7}
+
+
 def test_automaton_on_random_items():
     rng = random.Random(4)
     items = [(i, " ".join(rng.choices("abc", k=rng.randint(1, 12)))) for i in range(20)]
