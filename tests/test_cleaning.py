@@ -121,6 +121,27 @@ def test_line_breaks_and_quotes_survive_an_extract(spark, tmp_path):
     assert {k: v.replace("\r\n", "\n") for k, v in got.items()} == {str(i): v.replace("\r\n", "\n") for i, v in enumerate(values)}
 
 
+def test_one_record_per_line_is_split(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    lines = [f'{i},"says ""{i}"", twice",5" pipe' for i in range(3000)] + [',"",', '1, "x,y']
+    path.write_text("\n".join(["id,name,size", *lines]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        whole, split = files.read_raw(spark, str(path)), files.read_raw(spark, str(path), one_line=True)
+        assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() > 3
+        assert rows(split) == rows(whole) and split.count() == len(lines)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("record", ['1,"open', '1,"two\nlines"', '1,"odd""', '5" pipe,"open'])
+def test_an_unbalanced_quote_fails_where_records_are_lines(spark, tmp_path, record):
+    (tmp_path / "x.csv").write_text(f"id,name\n0,fine\n{record}\n2,fine\n")
+    with pytest.raises(ContractError, match="unbalanced quote"):
+        files.read_raw(spark, str(tmp_path / "x.csv"), one_line=True)
+
+
 def test_stamps_do_not_follow_the_session_zone(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
