@@ -7,11 +7,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
-from plumbline.llm import queries
+from plumbline.llm import queries, secrets
 from plumbline.llm.common import table
 from tests.llm.edges import sha
 from tests.llm.test_operators import brute_fingerprint, brute_hits
@@ -60,6 +61,22 @@ def test_queries_return_a_row_for_every_input(spark, name):
     assert out.select(source[1]).distinct().count() == out.count() == expected
 
 
+def test_secret_scan_runs_against_a_ledger(spark, monkeypatch):
+    docs, held, read = table(spark, SF, "documents"), [], secrets.read_ledger
+
+    def spied(session, path):
+        ledger = read(session, path)
+        held.append(0 if ledger is None else ledger.select("blob").distinct().count())
+        return ledger
+
+    monkeypatch.setattr(secrets, "read_ledger", spied)
+    out = Counter((r.doc_id, r.spans) for r in entry_point.queries()["op8_secret_scan"](spark, SF).collect())
+    contents = len({r.text or "" for r in docs.collect()})
+    assert held[0] == 0 and 0 < held[-1] < contents
+    whole_scan = secrets.scan(docs).select("doc_id", secrets.joined(F.col("findings")))
+    assert out == Counter(map(tuple, whole_scan.collect()))
+
+
 def test_language_agrees_with_markup(spark):
     out = {r.page_id: r.language for r in entry_point.queries()["op4_language_id"](spark, SF).collect()}
     declared = {r.page_id: re.search('lang="([a-z]+)"', r.html)[1] for r in table(spark, SF, "pages").collect() if 'lang="' in (r.html or "")}
