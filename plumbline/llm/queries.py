@@ -10,7 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.llm import bpe, chat, decontaminate, exact, langid, line_dedup, secrets, simhash, suffix, token_counts
+from plumbline.llm import bpe, chat, decontaminate, exact, langid, licenses, line_dedup, repair, secrets, simhash, suffix, token_counts, whitening
 from plumbline.llm.common import arrow_map, table, whole
 from plumbline.sources.files import scratch_dir
 
@@ -128,6 +128,68 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_damaged(turns: DataFrame) -> DataFrame:
+    """Rows of a table of conversations, damaged by a checksum of their place."""
+    told = [F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn")]
+    harm = F.crc32(F.concat(told[0], F.lit(":"), told[1]).cast("binary")) % 20
+    text = F.coalesce("text", F.lit(" "))
+    rows = turns.select(
+        "conv_id",
+        "turn",
+        F.when(harm == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(harm == 1, "").when(harm == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.when(harm == 0, F.array().cast("array<int>")).when(harm == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+    return rows.drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_digest(table(spark, sf_dir, "conversations"))
+
+
+def op11_digest(turns: DataFrame) -> DataFrame:
+    """What was found and changed in each damaged conversation; one that has no rows left has zeros."""
+    done = repair.repair(op11_damaged(turns))
+    found = repair.report(done).join(repair.digests(done), "key").drop("key")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    nothing = [F.lit(0).cast("long").alias(name) for name in counts]
+    all_ = turns.select("conv_id").distinct().select("conv_id", *nothing, F.lit("").alias("audit"), F.lit("").alias("sha256"))
+    out = all_.unionByName(found).groupBy("conv_id").agg(*[F.max(name).alias(name) for name in (*counts, "audit", "sha256")])
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    return out.select("conv_id", *counts, "audit", F.when(F.col("sha256") == "", empty).otherwise(F.col("sha256")).alias("repaired_sha256"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    found = whitening.transform(vectors, model).select("row.vec_id", "deviation", F.posexplode("whitened").alias("k", "whitened"))
+    explained = F.array(*[F.lit(e).cast("double") for e in model.explained[:4]]) if model else F.array().cast("array<double>")
+    return found.select(
+        "vec_id",
+        (F.col("k") + 1).alias("component"),
+        F.lit(model.n if model else None).cast("long").alias("n"),
+        F.expr("try_cast(deviation AS bigint)").alias("deviation"),
+        "whitened",
+        F.get(explained, "k").alias("explained"),
+        F.lit(model.identity_error if model else None).cast("double").alias("identity_error"),
+    )
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform("places", lambda x: x["start"])
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        licenses.labels_of("places").alias("base_labels"),
+        licenses.labels_of("places", "spans").alias("labels"),
+        "score",
+    )
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -141,6 +203,9 @@ QUERIES: dict[str, Query] = {
         op8_secret_scan,
         op9_token_counts,
         op10_line_dedup,
+        op11_conversation_repair,
+        op12_whitening,
+        op13_license_scan,
     )
 }
 
