@@ -147,9 +147,9 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_digest(table(spark, sf_dir, "conversations"))
 
 
-def op11_digest(turns: DataFrame) -> DataFrame:
+def op11_digest(turns: DataFrame, **named) -> DataFrame:
     """What was found and changed in each damaged conversation; one that has no rows left has zeros."""
-    done = repair.repair(op11_damaged(turns))
+    done = repair.repair(op11_damaged(turns), **named)
     found = repair.report(done).join(repair.digests(done), "key").drop("key")
     counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
     nothing = [F.lit(0).cast("long").alias(name) for name in counts]

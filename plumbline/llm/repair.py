@@ -7,7 +7,7 @@ extended along an arc whose cost makes up the difference of prices, or else its
 contracted by it. When the path arrives, prices of nodes on cheapest paths are exact, so that their arcs are the tight
 ones, and the cheapest repair that reads first in the alphabet is traced along those.
 
-Rows are ordered once, over all tasks together, and dealt out in blocks of at most `BLOCK` consecutive rows, so no
+Rows are ordered once, over all tasks together, and dealt out in blocks of at most 2 ** `BLOCK_BITS` consecutive rows, so no
 conversation has to fit into a task. Prices are found from the end in runs of `RUN` rows, whose prices at the end are
 known by then. Where a conversation has several pieces, each gives its prices from every entry to every exit, a walk over
 these few numbers a piece gives the prices at its end, and a second one the entry it is read from.
@@ -34,7 +34,7 @@ DELETE, INSERT, REROLE, CUT_SHORT = 4, 3, 3, 3
 #: Rows of a block are numbered by so many bits of their place.
 BLOCK_BITS = 12
 #: Rows of a run.
-RUN = 16
+RUN = 8
 #: Leading characters of a text by which rows of a turn are ordered.
 LEAD = 64
 WHITE = " \t\n\x0b\x0c\r"
@@ -102,10 +102,12 @@ def priced(codes: bytes, right: list[int], whole: bool = False) -> list[tuple[by
     for at in reversed(range(0, max(len(codes), 1), RUN)):
         run = codes[at : at + RUN]
         dead = [all(right[s] >= NONE for s in _REACH[state]) for state in range(4)]
-        price = [NONE if d else 0 for d in dead] * len(run) + right
+        least = min(right)  # prices count from the cheapest way out, so that they don't grow with what follows
+        price = [NONE if d else 0 for d in dead] * len(run) + [p - least if p < NONE else NONE for p in right]
         for state in range(1 if whole and at == 0 else 4):
             if price[state] < NONE:
                 auction(run, price, state)
+        price = [p + least if p < NONE else NONE for p in price]
         out.append((run, price))
         right = price[:4]
     return out[::-1]
@@ -162,6 +164,7 @@ class Repair:
     rows: DataFrame
     coded: DataFrame
     audits: DataFrame
+    block_bits: int = BLOCK_BITS
 
 
 def _key(conversation: Column) -> Column:
@@ -202,7 +205,7 @@ def _coded(rows: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(coded, "coded")
 
 
-def _pieces(coded: DataFrame, scratch: Scratch) -> DataFrame:
+def _pieces(coded: DataFrame, scratch: Scratch, bits: int) -> DataFrame:
     """key, slot of the first row, codes, initials of the ends, and improper neighbours inside, of each piece."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +219,7 @@ def _pieces(coded: DataFrame, scratch: Scratch) -> DataFrame:
         for batch in batches:
             keys, slots = batch.column("key").to_pylist(), batch.column("slot").to_numpy()
             heads, faults = batch.column("head").to_numpy(), batch.column("fault").to_numpy()
-            blocks = slots >> BLOCK_BITS
+            blocks = slots >> bits
             cuts = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1] or blocks[i] != blocks[i - 1]], len(keys)]
             done = []
             for a, b in zip(cuts, cuts[1:]):
@@ -230,7 +233,7 @@ def _pieces(coded: DataFrame, scratch: Scratch) -> DataFrame:
         if held:
             yield _batch([row()], _PIECES)
 
-    dealt = coded.select("key", "slot", "head", "fault").repartition(F.shiftright("slot", BLOCK_BITS)).sortWithinPartitions("slot")
+    dealt = coded.select("key", "slot", "head", "fault").repartition(F.shiftright("slot", bits)).sortWithinPartitions("slot")
     return scratch.keep(arrow_map(dealt, of_batches, "key string, slot long, codes binary, head int, tail int, illegal long"), "pieces")
 
 
@@ -330,17 +333,24 @@ def _of_cut(pieces: DataFrame, scratch: Scratch) -> DataFrame:
     return arrow_map(scratch.keep(found, "ways").repartition("key").sortWithinPartitions("key", "slot"), forwards, _AUDITS_DDL)
 
 
-def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> Repair:
+def repair(
+    turns: DataFrame,
+    conv_col: str = "conv_id",
+    turn_col: str = "turn",
+    role_col: str = "role",
+    text_col: str = "text",
+    block_bits: int = BLOCK_BITS,
+) -> Repair:
     """The edits of every conversation of a table of turns."""
     scratch = Scratch(turns.sparkSession, "repair")
     rows = _ordered(turns, scratch, conv_col, turn_col, role_col, text_col)
     coded = _coded(rows, scratch)
-    pieces = _pieces(coded, scratch)
+    pieces = _pieces(coded, scratch, block_bits)
     cut = scratch.keep(pieces.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "cut")
     whole = _of_whole(pieces.join(cut, "key", "left_anti"))
     if cut.limit(1).count():
         whole = whole.unionByName(_of_cut(pieces.join(cut, "key"), scratch))
-    return Repair(rows, coded, scratch.keep(whole, "audits"))
+    return Repair(rows, coded, scratch.keep(whole, "audits"), block_bits)
 
 
 def report(repair: Repair) -> DataFrame:
@@ -361,7 +371,7 @@ def repaired(repair: Repair, by_conversation: bool = False) -> DataFrame:
     """
     rows = repair.rows.select("key", "slot", F.lit(None).cast("int").alias("entry"), F.lit(None).cast("string").alias("audit"), "role", "text", "row")
     audits = repair.audits.select("key", "slot", "entry", "audit", F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("text"), F.lit(None).cast(rows.schema["row"].dataType).alias("row"))
-    together = F.col("key") if by_conversation else F.shiftright("slot", BLOCK_BITS)
+    together = F.col("key") if by_conversation else F.shiftright("slot", repair.block_bits)
     dealt = rows.unionByName(audits).repartition(together).sortWithinPartitions("key", "slot", F.col("audit").isNull())
     kinds = {"key": pa.string(), "slot": pa.int64(), "sub": pa.int32(), "edit": pa.string(), "role": pa.string(), "text": pa.string()}
 

@@ -128,11 +128,10 @@ def test_empty_table(spark):
 
 
 @pytest.mark.parametrize("bits", [0, 2])
-def test_conversations_in_pieces(spark, monkeypatch, bits):
+def test_conversations_in_pieces(spark, bits):
     """Blocks of a few rows cut nearly all conversations; one holds most rows."""
-    monkeypatch.setattr(repair, "BLOCK_BITS", bits)
-    rows = some_rows(25, 5) + [(77, t, random.Random(t).choice(["user", "assistant", "system"]), f"{t % 50}.") for t in range(300)]
-    assert found(queries.op11_digest(spark.createDataFrame(rows, SCHEMA).repartition(3))) == brute(rows)
+    rows = some_rows(25, 5) + [(77, t, random.Random(t).choice(["user", "assistant", "system"]), f"{t % 50}.") for t in range(120)]
+    assert found(queries.op11_digest(spark.createDataFrame(rows, SCHEMA).repartition(3), block_bits=bits)) == brute(rows)
 
 
 def test_repaired_rows_keep_other_columns(spark):
