@@ -1,12 +1,15 @@
 """Byte-pair encoding and decoding with a pair occurrence index.
 
-The distinct pre-tokens of a slice of texts are laid out in one array of symbols. An index maps each mergeable pair to
-all its positions in it. Active ranks are applied in ascending order, each to all its positions at once; a merge enters
-the new neighbour pairs in their lists, and stale positions are recognised when they come up. Encoded pre-tokens are
-kept for the following slices in a bounded table.
+The distinct pre-tokens that a slice of texts brings anew are laid out in one array of symbols. An index maps each
+mergeable pair to all its positions in it. Active ranks are applied in ascending order, each to all its positions at
+once: ranks with many positions by array operations, the others one position after the other. A merge enters the new
+neighbour pairs in their lists, and stale positions are recognised when they come up. Lists of later ranks are kept by
+blocks of ranks and sorted when their block begins. Encoded chunks of text are kept for the following slices in a
+bounded table; ids lie in one array, from which those of a text are gathered.
 
 The vocabulary is a file of the tokenizers library, byte-level BPE; its path is a parameter. It is read on the driver
-and sent to the tasks (a vocabulary is a few MB, `MAX_VOCABULARY` at most).
+and sent to the tasks (a vocabulary is a few MB, `MAX_VOCABULARY` at most). A setting of it that isn't implemented here
+is an error.
 
 Defined results: a null text is empty and has no tokens; strings of special tokens in a text are encoded as those
 tokens; repeated rows each get a row; an empty table gives an empty result. Other columns pass through.
@@ -17,10 +20,13 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
@@ -28,9 +34,16 @@ from plumbline.llm.common import arrow_map, packed, slices, whole
 
 MAX_VOCABULARY = 64 << 20
 #: Kept chunks of text at most, and the length in characters up to which one is kept.
-KEPT, KEPT_LENGTH = 200_000, 40
+KEPT, KEPT_LENGTH = 400_000, 40
 #: Pre-tokens that one index holds.
-INDEXED = 50_000
+INDEXED = 400_000
+#: Bytes of text that a task encodes at once; a longer text is handled alone.
+SLICE_BYTES = 4 << 20
+#: Ranks of a block, and positions from which a rank is applied by arrays.
+BLOCK, MANY = 512, 48
+#: The pre-tokens of the byte-level splitter (a fixed value), and the first character for which versions of Unicode differ.
+_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_KNOWN = "\u0558"
 
 
 def byte_letters() -> list[str]:
@@ -57,22 +70,114 @@ class Splitter:
         return [bytes(map(self.byte_of.__getitem__, t)).decode() for t, _ in self.pre.pre_tokenize_str(text)]
 
 
+def refuse_unknown(held: dict) -> None:
+    """Raise for settings of a vocabulary that would give other ids than the ones here."""
+    model, split = held["model"], held["pre_tokenizer"] or {}
+    if model["type"] != "BPE" or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True) or held.get("normalizer"):
+        raise ValueError("a byte-level BPE vocabulary without normalizer and prefix space is needed")
+    wrong = [name for name in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges", "byte_fallback") if model.get(name)]
+    wrong += [f"{t['content']}: {name}" for t in held["added_tokens"] for name in ("single_word", "lstrip", "rstrip") if t.get(name)]
+    if wrong:
+        raise ValueError(f"settings that are not implemented: {wrong}")
+
+
+class Store:
+    """Id sequences one after the other in one array."""
+
+    def __init__(self):
+        self.flat, self.stops = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.stops) - 1
+
+    def add(self, flat: np.ndarray, stops: np.ndarray) -> None:
+        self.stops = np.concatenate((self.stops, stops + len(self.flat)))
+        self.flat = np.concatenate((self.flat, flat.astype(np.uint32)))
+
+    def gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sequences of the given numbers in a row, and where each stops."""
+        sizes = self.stops[numbers + 1] - self.stops[numbers]
+        stops = np.cumsum(sizes)
+        total = int(stops[-1]) if len(stops) else 0
+        return self.flat[np.arange(total) + np.repeat(self.stops[numbers] - (stops - sizes), sizes)], stops
+
+    def keep(self, numbers: np.ndarray) -> None:
+        self.flat, stops = self.gathered(numbers)
+        self.stops = np.concatenate(([0], stops))
+
+
+class Index:
+    """Positions of pairs by rank. Those of the block of ranks at hand are lists by rank, later ones are collected by block."""
+
+    def __init__(self, blocks: int):
+        self.later: list[list] = [[] for _ in range(blocks)]
+        self.loose: list[list[tuple[int, int]]] = [[] for _ in range(blocks)]
+        self.block, self.at, self.active = -1, dict[int, list](), list[int]()
+
+    def enter(self, ranks: np.ndarray, positions: np.ndarray) -> None:
+        if not len(ranks):
+            return
+        order = np.argsort(ranks, kind="stable")
+        ranks, positions = ranks[order], positions[order]
+        blocks = ranks // BLOCK
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(blocks)) + 1, [len(ranks)])).tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            if blocks[a] == self.block:
+                self._lists(ranks[a:b], positions[a:b])
+            else:
+                self.later[blocks[a]].append((ranks[a:b], positions[a:b]))
+
+    def _lists(self, ranks: np.ndarray, positions: np.ndarray) -> None:
+        """Sorted ranks and their positions into the lists of the block at hand."""
+        cuts = [0, *(np.flatnonzero(np.diff(ranks)) + 1).tolist(), len(ranks)]
+        for a, b in zip(cuts, cuts[1:]):
+            rank = int(ranks[a])
+            if rank in self.at:
+                self.at[rank].append(positions[a:b])
+            else:
+                self.at[rank] = [positions[a:b]]
+                heapq.heappush(self.active, rank)
+
+    def enter_one(self, rank: int, position: int) -> None:
+        if rank // BLOCK != self.block:
+            self.loose[rank // BLOCK].append((rank, position))
+        elif rank in self.at:
+            self.at[rank].append((position,))
+        else:
+            self.at[rank] = [(position,)]
+            heapq.heappush(self.active, rank)
+
+    def lists(self) -> Iterator[tuple[int, list]]:
+        """Ranks in ascending order with parts of their positions; those entered meanwhile come up too."""
+        for self.block in range(len(self.later)):
+            held, loose = self.later[self.block], self.loose[self.block]
+            self.later[self.block] = self.loose[self.block] = []
+            if loose:
+                held.append(tuple(np.array(loose, np.int64).T))
+            if held:
+                ranks = np.concatenate([r for r, _ in held])
+                order = np.argsort(ranks, kind="stable")
+                self._lists(ranks[order], np.concatenate([p for _, p in held])[order])
+            while self.active:
+                rank = heapq.heappop(self.active)
+                yield rank, self.at.pop(rank)
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file."""
 
     def __init__(self, config: str):
         held = json.loads(config)
-        model, split = held["model"], held["pre_tokenizer"]
-        if model["type"] != "BPE" or split["type"] != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"] or held["normalizer"]:
-            raise ValueError("a byte-level BPE vocabulary without normalizer and prefix space is needed")
+        refuse_unknown(held)
+        model = held["model"]
         self.split = Splitter(config)
         letters, byte_of = byte_letters(), self.split.byte_of
         vocab = model["vocab"]
-        if max(vocab.values()) > 0xFFFF:
-            raise ValueError("ids of more than 16 bits")
+        self.special = {t["content"]: t["id"] for t in held["added_tokens"]}
+        #: A pair of ids is one number: the first times `width`, plus the second.
+        self.width = 1 + max([*vocab.values(), *self.special.values()])
         self.first = np.array([vocab[c] for c in letters], np.int64)
         self.merges: list[tuple[int, int, int]] = []
-        #: Rank of a pair of ids, by the number the two make together.
         self.rank: dict[int, int] = {}
         born: dict[int, int] = {}
         for rank, (a, b) in enumerate(tuple(m.split(" ")) if isinstance(m, str) else m for m in model["merges"]):
@@ -80,131 +185,166 @@ class Codec:
             if max(born.get(left, -1), born.get(right, -1)) >= rank:
                 raise ValueError("a merge comes before one that makes its parts")
             born.setdefault(new, rank)
-            self.rank[left << 16 | right] = len(self.merges)
+            self.rank[left * self.width + right] = len(self.merges)
             self.merges.append((left, right, new))
-        self.special = {t["content"]: t["id"] for t in held["added_tokens"]}
-        self.bytes_of = [b""] * (1 + max([*vocab.values(), *self.special.values()]))
+        self.pairs = np.array(sorted(self.rank), np.int64)
+        self.pair_ranks = np.array([self.rank[p] for p in self.pairs.tolist()], np.int64)
+        self.bytes_of = [b""] * self.width
         for token, i in vocab.items():
             self.bytes_of[i] = bytes(byte_of[c] for c in token)
         for token, i in self.special.items():
             self.bytes_of[i] = token.encode()
-        self.of_bytes = np.full((256, 256), -1, np.int64)  # ranks of pairs of single bytes
-        byte_with = {int(i): b for b, i in enumerate(self.first)}
-        for r, (left, right, _) in enumerate(self.merges):
-            if left in byte_with and right in byte_with:
-                self.of_bytes[byte_with[left], byte_with[right]] = r
-        self.start: dict[str, bytes] = {}
-        self.after: dict[str, bytes] = {}
-        self.tokens: dict[str, bytes] = {}
-        #: Chunks that came up in more than one slice; they outlive a cleared table.
-        self.again: set[str] = set()
-
-    def merge(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word after all merges, as little-endian unsigned 32-bit integers."""
+        self._forget()
+
+    def _forget(self) -> None:
+        """Empty tables; the special tokens are the first sequences."""
+        self.start: dict[str, int] = {}
+        self.after: dict[str, int] = {}
+        self.store = Store()
+        ids = np.array([*self.special.values()], np.int64)
+        self.store.add(ids, np.arange(1, len(ids) + 1))
+        self.of_special = dict(zip(self.special, range(len(ids))))
+        #: In how many slices each sequence came up.
+        self.met = np.zeros(len(ids), np.int64)
+
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of symbols, -1 for those that don't merge."""
+        if not len(self.pairs):
+            return np.full(len(left), -1)
+        pair = left.astype(np.int64) * self.width + right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == pair) & (left >= 0) & (right >= 0), self.pair_ranks[at], -1)
+
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row after all merges, and where each word stops."""
         sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
         flat = np.frombuffer(b"\n".join(words) + b"\n", np.uint8)
-        ends = np.cumsum(sizes) - 1
-        ids = self.first[flat]
-        ids[ends] = -1
-        n = len(ids)
-        # The index at the start: positions of every mergeable pair, by rank.
-        ranks = self.of_bytes[flat[:-1], flat[1:]]
-        ranks[ends[:-1]] = -1
-        ranks[ends - 1] = -1
+        ends, n = np.cumsum(sizes) - 1, len(flat)
+        sym = np.append(self.first[flat], -1)  # a mark behind each word, and one more at the end
+        sym[ends] = -1
+        nxt, prv = np.arange(1, n + 2), np.arange(-1, n)
+        index = Index(len(self.merges) // BLOCK + 1)
+        ranks = self.ranks_of(sym[:-1], sym[1:])
         places = np.flatnonzero(ranks >= 0)
-        places = places[np.argsort(ranks[places], kind="stable")]
-        active, cuts = np.unique(ranks[places], return_index=True)
-        at = dict(zip(active.tolist(), (x.tolist() for x in np.split(places, cuts[1:])))) if len(active) else {}
-        active = list(at)
-        heapq.heapify(active)
-        sym, nxt, prv = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
-        rank, merges = self.rank.get, self.merges
-        while active:
-            r = heapq.heappop(active)
-            left, right, new = merges[r]
-            positions = at.pop(r)
-            positions.sort()
-            for p in positions:
+        index.enter(ranks[places], places)
+        one, one_next, one_prev = memoryview(sym), memoryview(nxt), memoryview(prv)
+        rank_of, width = self.rank.get, self.width
+        for r, parts in index.lists():
+            left, right, new = self.merges[r]
+            if left != right and sum(map(len, parts)) >= MANY:
+                p = np.sort(np.concatenate(parts))
+                p = p[np.append(True, p[1:] != p[:-1])]
                 q = nxt[p]
-                if sym[p] != left or sym[q] != right:
-                    continue
-                after, before = nxt[q], prv[p]
+                live = (sym[p] == left) & (sym[q] == right)
+                p, q = p[live], q[live]
                 sym[p], sym[q] = new, -2
+                after = nxt[q]
                 nxt[p], prv[after] = after, p
-                x = sym[before] if before >= 0 else -1
-                if x >= 0:
-                    made = rank(x << 16 | new)
-                    if made is not None:
-                        if made in at:
-                            at[made].append(before)
-                        else:
-                            at[made] = [before]
-                            heapq.heappush(active, made)
-                x = sym[after]
-                if x >= 0:
-                    made = rank(new << 16 | x)
-                    if made is not None:
-                        if made in at:
-                            at[made].append(p)
-                        else:
-                            at[made] = [p]
-                            heapq.heappush(active, made)
-        done = np.array(sym, np.int64)
+                before = prv[p]
+                made = np.full(len(p), new)
+                ranks = np.concatenate((self.ranks_of(sym[before], made), self.ranks_of(made, sym[after])))
+                some = np.flatnonzero(ranks >= 0)
+                index.enter(ranks[some], np.concatenate((before, p))[some])
+                continue
+            for p in sorted(chain.from_iterable(x.tolist() if isinstance(x, np.ndarray) else x for x in parts)):
+                q = one_next[p]
+                if one[p] != left or one[q] != right:
+                    continue
+                after, before = one_next[q], one_prev[p]
+                one[p], one[q] = new, -2
+                one_next[p], one_prev[after] = after, p
+                if before >= 0 and (x := one[before]) >= 0 and (made := rank_of(x * width + new)) is not None:
+                    index.enter_one(made, before)
+                if (x := one[after]) >= 0 and (made := rank_of(new * width + x)) is not None:
+                    index.enter_one(made, p)
+        done = sym[:-1]
         done = done[done != -2]
-        stops = np.flatnonzero(done == -1)
-        little = done.astype("<u4").tobytes()
-        begins = np.concatenate(([0], stops[:-1] + 1))
-        return [little[4 * a : 4 * b] for a, b in zip(begins.tolist(), stops.tolist())]
-
-    def _learn(self, chunks: Iterable[str], table: dict[str, bytes], lead: str) -> None:
-        """Encode new chunks into `table`. What they consist of is merged together, over one index."""
-        parts = {c: self.split.parts(lead + c) for c in chunks}
-        fresh = list({t for ts in parts.values() for t in ts}.difference(self.tokens))
-        for at in range(0, len(fresh), INDEXED):
-            some = fresh[at : at + INDEXED]
-            self.tokens.update(zip(some, self.merge([t.encode() for t in some])))
-        tokens = self.tokens
-        for c, ts in parts.items():
-            table[c] = tokens[ts[0]] if len(ts) == 1 else b"".join(map(tokens.__getitem__, ts))
+        marks = np.flatnonzero(done == -1)
+        return done[done >= 0], marks - np.arange(len(marks))
+
+    def _parts(self, lead: str, chunk: str) -> list[str]:
+        if chunk[:-1].isalpha() and chunk[-1] in ",.!?;:":
+            return [lead + chunk[:-1], chunk[-1]]
+        return _PARTS.findall(lead + chunk) if chunk and max(chunk) < _KNOWN else self.split.parts(lead + chunk)
+
+    def _learn(self, chunks: list[str], table: dict[str, int], lead: str) -> None:
+        """Encode new chunks into `table`; the pre-tokens they consist of are merged together, over one index.
+
+        Letters alone, or with one mark behind, need no pattern.
+        """
+        kept = [c for c in chunks if c.isalpha()]
+        number: dict[str, int] = {lead + c: i for i, c in enumerate(kept)}
+        parts, counts = list(range(len(kept))), [1] * len(kept)
+        for c in chunks:
+            if not c.isalpha():
+                ts = self._parts(lead, c)
+                kept.append(c)
+                counts.append(len(ts))
+                for t in ts:
+                    parts.append(number.setdefault(t, len(number)))
+        tokens, merged = list(number), Store()
+        for at in range(0, len(tokens), INDEXED):
+            merged.add(*self.merge([t.encode() for t in tokens[at : at + INDEXED]]))
+        flat, stops = merged.gathered(np.array(parts, np.int64))
+        at = np.cumsum(np.array(counts, np.int64))
+        table.update(zip(kept, range(len(self.store), len(self.store) + len(kept))))
+        self.store.add(flat, np.concatenate(([0], stops))[at])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Token ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.after) > KEPT:
-            self.after = {c: self.after[c] for c in self.again if c in self.after}
-            if len(self.after) > KEPT // 2:
-                self.after.clear()
-            self.again.clear()
-        for table in (self.tokens, self.start):
-            if len(table) > KEPT:
-                table.clear()
-        pieces = [self._pieces(text) for text in texts]
-        chunks = [p for ps in pieces for p in ps if isinstance(p, list)]
-        self._learn({p[0] for p in chunks}.difference(self.start), self.start, "")
-        met: set[str] = set()
-        for p in chunks:
-            met.update(p[1:])
-        new = met.difference(self.after)
-        self.again.update(met.difference(new))
-        self._learn(new, self.after, " ")
-        start, after = self.start, self.after.__getitem__
-        out = []
-        for ps in pieces:
-            parts = [p.to_bytes(4, "little") if isinstance(p, int) else start[p[0]] + b"".join(map(after, p[1:])) for p in ps]
-            out.append(parts[0] if len(parts) == 1 else b"".join(parts))
-        for table in (self.tokens, self.after, self.start):
-            for c in [c for c in table if len(c) > KEPT_LENGTH]:
+        chunks: list[str] = []
+        begins: list[int] = []
+        special: list[tuple[int, int]] = []
+        sizes = []
+        for text in texts:
+            had = len(chunks)
+            for at, part in enumerate(_around(text, self.special)):
+                if at % 2:
+                    special.append((len(chunks), self.of_special[part]))
+                    chunks.append("")
+                elif part:
+                    begins.append(len(chunks))
+                    chunks += chunks_of(part)
+            sizes.append(len(chunks) - had)
+        first, set_apart = {chunks[i] for i in begins}, np.array([*begins, *[i for i, _ in special]], np.int64)
+        numbers = np.fromiter(map(self.after.get, chunks, repeat(-1)), np.int64, len(chunks))
+        numbers[set_apart] = 0
+        missing = np.flatnonzero(numbers < 0).tolist()
+        fresh, fresh_first = {chunks[i] for i in missing}, first.difference(self.start)
+        # Long chunks come last, so that they can go again after the slice.
+        for of_length in (False, True):
+            if of_length:
+                short = len(self.store)
+            self._learn([c for c in fresh if (len(c) > KEPT_LENGTH) == of_length], self.after, " ")
+            self._learn([c for c in fresh_first if (len(c) > KEPT_LENGTH) == of_length], self.start, "")
+        numbers[missing] = np.fromiter(map(self.after.__getitem__, map(chunks.__getitem__, missing)), np.int64, len(missing))
+        numbers[begins] = np.fromiter(map(self.start.__getitem__, map(chunks.__getitem__, begins)), np.int64, len(begins))
+        for i, k in special:
+            numbers[i] = k
+        flat, stops = self.store.gathered(numbers)
+        little, at = flat.astype("<u4").tobytes(), np.concatenate(([0], stops))[np.cumsum(sizes)].tolist()
+        self._trim(numbers, short, [c for c in fresh if len(c) > KEPT_LENGTH], [c for c in fresh_first if len(c) > KEPT_LENGTH])
+        return [little[4 * a : 4 * b] for a, b in zip([0, *at], at)]
+
+    def _trim(self, numbers: np.ndarray, short: int, long_after: list[str], long_start: list[str]) -> None:
+        """Drop long chunks; in a full table, also those that came up in one slice only, or else all."""
+        for table, long_ in ((self.after, long_after), (self.start, long_start)):
+            for c in long_:
                 del table[c]
-        return out
-
-    def _pieces(self, text: str) -> list[list[str] | int]:
-        """Special tokens, and between them chunks: a pre-token always begins at a space before something else."""
-        out: list[list[str] | int] = []
-        for at, part in enumerate(_around(text, self.special)):
-            if at % 2:
-                out.append(self.special[part])
-            elif part:
-                out.append(chunks_of(part))
-        return out
+        self.store.flat, self.store.stops = self.store.flat[: self.store.stops[short]], self.store.stops[: short + 1]
+        self.met = np.concatenate((self.met, np.zeros(short - len(self.met), np.int64)))
+        self.met[np.unique(numbers[numbers < short])] += 1
+        if short <= KEPT:
+            return
+        stay = self.met > 1
+        stay[: len(self.special)] = True
+        if stay.sum() > KEPT // 2:
+            return self._forget()
+        new = np.cumsum(stay) - 1
+        self.after = {c: int(new[k]) for c, k in self.after.items() if stay[k]}
+        self.start = {c: int(new[k]) for c, k in self.start.items() if stay[k]}
+        self.store.keep(np.flatnonzero(stay))
+        self.met = np.ones(len(self.store), np.int64)
 
     def decode(self, ids: bytes) -> str:
         tokens = np.frombuffer(ids, "<u4").tolist()
@@ -272,7 +412,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", decoded: bo
         codec = _codec(sent.value)
         for batch in batches:
             texts = batch.column("text")
-            for a, b in slices(texts.cast(pa.binary()).to_pandas().map(len)):
+            for a, b in slices(pc.binary_length(texts).to_pylist(), SLICE_BYTES):
                 ids = codec.encode(texts.slice(a, b - a).to_pylist())
                 columns = {"row": batch.column("row").slice(a, b - a), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
                 if decoded:

@@ -251,5 +251,6 @@ def keep_identified(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     rows = docs.select(row.alias("row"), F.col(f"`{host_col}`").cast("string").alias("host"), text.alias("text"), declared.alias("declared"), F.lit(None).cast("string").alias("suffix"))
     scratch = Scratch(docs.sparkSession, "langid-out")
     gone = scratch.keep(identify(rows, model).where(F.col("language") == UNDETERMINED).select("row.*").distinct(), "gone")
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("gone_id")) & (F.sha2(text.cast("binary"), 256) == F.col("gone_digest"))
-    return docs.join(gone, same, "left_anti")
+    own = docs.select(packed(docs).alias("row"), F.col(f"`{id_col}`").cast("long").alias("own_id"), F.sha2(text.cast("binary"), 256).alias("own_digest"))
+    same = F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_digest") == F.col("gone_digest"))
+    return own.join(gone, same, "left_anti").select("row.*")

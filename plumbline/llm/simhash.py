@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plumbline.llm.common import Scratch, arrow_map, whole
+from plumbline.llm.common import Scratch, arrow_map, packed, whole
 from plumbline.llm.components import components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -138,8 +138,10 @@ def dedup(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc
     scratch = Scratch(docs.sparkSession, "simhash-out")
     gone = grouped(docs, shingle, radius, id_col, text_col).where("NOT keeper")
     gone = scratch.keep(gone.select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")).distinct(), "gone")
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("gone_id")) & (F.sha2(whole(text_col).cast("binary"), 256) == F.col("gone_digest"))
-    return docs.join(gone, same, "left_anti")
+    text = whole(text_col).cast("binary")
+    rows = docs.select(packed(docs).alias("row"), F.col(f"`{id_col}`").cast("long").alias("own_id"), F.sha2(text, 256).alias("own_digest"))
+    same = F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_digest") == F.col("gone_digest"))
+    return rows.join(gone, same, "left_anti").select("row.*")
 
 
 def hexed(fp: Column) -> Column:

@@ -323,6 +323,58 @@ def test_bpe_and_counts_on_mixed_strings(monkeypatch):
             assert count == (len(unigram.encode(text).ids), len(unigram.pre_tokenizer.pre_tokenize_str(text)))
 
 
+def small_vocabulary(pairs=(), far=0, **model):
+    """A byte-level file of the tokenizers library with a few merges; ids begin at `far`."""
+    letters = bpe.byte_letters()
+    tokens = [*letters, *(a + b for a, b in pairs)]
+    held = json.loads(bpe.read_vocabulary(queries.VOCABULARY))
+    held["model"].update(vocab={t: far + i for i, t in enumerate(tokens)}, merges=[list(p) for p in pairs], **model)
+    held["added_tokens"] = []
+    return json.dumps(held)
+
+
+def test_bpe_merges_by_arrays_and_by_positions(monkeypatch):
+    """Words of two letters, many of them overlapping, so that each kind of list is met."""
+    pairs = [("a", "b"), ("a", "a"), ("ab", "ab"), ("b", "b"), ("aa", "ab"), ("aa", "aa"), ("abab", "a"), ("bb", "aa")]
+    for many, block in ((1, 1), (3, 2), (10**9, 512)):
+        monkeypatch.setattr(bpe, "MANY", many)
+        monkeypatch.setattr(bpe, "BLOCK", block)
+        codec = bpe.Codec(small_vocabulary(pairs))
+        rng = random.Random(many)
+        words = ["".join(rng.choices("ab", k=rng.randint(1, 30))) for _ in range(400)]
+        flat, stops = codec.merge([w.encode() for w in words])
+        for w, a, b in zip(words, [0, *stops.tolist()], stops.tolist()):
+            parts = list(w)
+            for left, right in pairs:
+                i = 0
+                while i < len(parts) - 1:
+                    if (parts[i], parts[i + 1]) == (left, right):
+                        parts[i : i + 2] = [left + right]
+                    i += 1
+            assert [codec.bytes_of[i].decode() for i in flat[a:b].tolist()] == parts
+
+
+def test_bpe_ids_beyond_16_bits():
+    config = small_vocabulary([("a", "b")], far=100_000)
+    codec, reference = bpe.Codec(config), Tokenizer.from_str(config)
+    ids = codec.encode(["ab ba abab", ""])
+    assert np.frombuffer(ids[0], "<u4").tolist() == reference.encode("ab ba abab").ids and ids[1] == b""
+    assert codec.decode(ids[0]) == "ab ba abab"
+
+
+@pytest.mark.parametrize("setting", [{"ignore_merges": True}, {"dropout": 0.1}, {"continuing_subword_prefix": "##"}, {"end_of_word_suffix": "</w>"}])
+def test_bpe_refuses_settings_it_does_not_have(setting):
+    with pytest.raises(ValueError):
+        bpe.Codec(small_vocabulary([("a", "b")], **setting))
+
+
+def test_bpe_splits_as_the_library_does():
+    pre, byte_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True), {c: b for b, c in enumerate(bpe.byte_letters())}
+    for first in range(0, ord(bpe._KNOWN), 8):
+        text = "".join(f"x{chr(c)}1{chr(c)}! {chr(c)}?\n" for c in range(first, min(first + 8, ord(bpe._KNOWN))))
+        assert bpe._PARTS.findall(text) == [bytes(map(byte_of.__getitem__, t)).decode() for t, _ in pre.pre_tokenize_str(text)]
+
+
 def test_token_counts_rows(spark):
     counter = token_counts.Counter(bpe.read_vocabulary(queries.VOCABULARY))
     out = token_counts.token_counts(frame(spark), queries.VOCABULARY).select("row.doc_id", "n_tokens", "n_pretokens")

@@ -22,7 +22,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = entry_point.queries()
-    assert "pipeline" in names and [n for n in range(1, 11) if not any(re.match(rf"op{n}_", q) for q in names)] == []
+    assert "pipeline" in names and [n for n in range(1, 14) if not any(re.match(rf"op{n}_", q) for q in names)] == []
 
 
 def test_pipeline(spark):
@@ -53,6 +53,17 @@ def test_pipeline(spark):
     assert Counter(map(tuple, corpus_pipeline.run(spark, SF).collect())) == expected
 
 
+def test_stages_with_clashing_columns_nulls_and_no_rows(spark):
+    names = ("gone_id", "gone_digest", "own_id", "own_digest", "row", "digest", "fp", "key", "id", "body", "found", "host", "tid")
+    docs = table(spark, SF, "documents").limit(40)
+    odd = docs.unionByName(spark.createDataFrame([(None, None, None, None, None), (None, None, None, None, None), (7, "", "en", "s", 0)], docs.schema))
+    for some in (odd, docs.limit(0)):
+        clashing = some.select("*", *[F.col("doc_id").alias(n) for n in names])
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, clashing, SF)
+            assert out.columns == clashing.columns and Counter(r.doc_id for r in out.collect()) == Counter(r.doc_id for r in stage(spark, some, SF).collect())
+
+
 @pytest.mark.parametrize("name", ["op1_chat_formatting", "op4_language_id", "op9_token_counts", "op10_line_dedup"])
 def test_queries_return_a_row_for_every_input(spark, name):
     source = {"op1_chat_formatting": ("conversations", "conv_id"), "op4_language_id": ("pages", "page_id")}.get(name, ("documents", "doc_id"))
