@@ -159,33 +159,55 @@ def through(codes: bytes) -> list[int]:
 
 @dataclass
 class Repair:
-    """Ordered rows (key, conv_id, turn, slot, role, text, row), their faults and the edits of each piece."""
+    """Ordered rows (key, slot, row and others), their faults and the edits of each piece."""
 
     rows: DataFrame
     coded: DataFrame
     audits: DataFrame
-    block_bits: int = BLOCK_BITS
+    role_col: str
+    text_col: str
+    block_bits: int
 
 
 def _key(conversation: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), conversation.cast("string")), F.lit(""))
 
 
+def _said(column: Column) -> Column:
+    return F.coalesce(column.cast("string"), F.lit(" "))
+
+
 def _ordered(turns: DataFrame, scratch: Scratch, conv_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
-    """All rows in order, numbered by task and place. Equal rows are told apart at random, so they can be split."""
-    conversation, turn = F.col(f"`{conv_col}`"), F.col(f"`{turn_col}`")
-    role, text = (F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(" ")) for name in (role_col, text_col))
-    rows = scratch.keep(
-        turns.select(_key(conversation).alias("key"), conversation.alias("conv_id"), turn.alias("turn"), role.alias("role"), text.alias("text"), packed(turns).alias("row")),
-        "rows",
-    )
-    said = F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text").cast("binary"), 256)
-    order = ["key", "turn", "role", "lead", "digest", "tie"]
+    """All rows in order, numbered by task and place, with what decides about them (`ends` is a fault but for repeats).
+
+    Equal rows are told apart at random, so they can be split; the input is written first, so that a task that runs
+    again deals alike.
+    """
+    rows = scratch.keep(turns.select(packed(turns).alias("row")), "rows")
+    field = {name: F.col("row").getField(name) for name in (conv_col, turn_col, role_col, text_col)}
+    role, text = _said(field[role_col]), _said(field[text_col])
+    digest = F.sha2(F.concat(F.length(role).cast("string"), F.lit(":"), role, text).cast("binary"), 256)
+    last = F.substring(F.rtrim(text, F.lit(WHITE)), -1, 1)
+    ends = F.when(last == "", 1).when(last.isin(".", "!", "?"), 0).otherwise(3)
+    at = F.instr(F.lit(HEADS), F.substring(role, 1, 1)) - 1
+    head = F.when((at >= 0) & (role != ""), at).otherwise(3)
+    order = ["key", "turn", "said", "lead", "digest", "tie"]
     return scratch.keep(
-        rows.withColumns({"lead": F.substring("text", 1, LEAD), "digest": said, "tie": F.rand(29)})
+        rows.select(
+            _key(field[conv_col]).alias("key"),
+            field[conv_col].alias("conv_id"),
+            field[turn_col].alias("turn"),
+            role.alias("said"),
+            F.substring(text, 1, LEAD).alias("lead"),
+            digest.alias("digest"),
+            F.rand(29).alias("tie"),
+            head.cast("tinyint").alias("head"),
+            ends.cast("tinyint").alias("ends"),
+            "row",
+        )
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .drop("lead", "tie")
+        .drop("said", "lead", "tie")
         .withColumn("slot", F.monotonically_increasing_id()),
         "ordered",
     )
@@ -193,11 +215,7 @@ def _ordered(turns: DataFrame, scratch: Scratch, conv_col: str, turn_col: str, r
 
 def _coded(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """key, conv_id, turn, slot, head (number of the role's initial) and fault (0: none, else 1 + its place in FAULTS)."""
-    last = F.substring(F.rtrim("text", F.lit(WHITE)), -1, 1)
-    ends = F.when(last == "", 1).when(last.isin(".", "!", "?"), 0).otherwise(3)
-    slim = rows.select("key", "conv_id", "turn", "slot", "digest", (F.instr(F.lit(HEADS), F.substring("role", 1, 1)) - 1).alias("at"), ends.alias("ends"), "role")
-    head = F.when((F.col("at") >= 0) & (F.col("role") != ""), F.col("at")).otherwise(3)
-    slim = scratch.keep(slim.withColumn("head", head.cast("tinyint")).drop("at", "role"), "slim")
+    slim = rows.drop("row")
     same = slim.where("ends <> 1").groupBy("key", "digest").agg(F.min("slot").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     same = scratch.keep(same, "repeated")
     fault = F.when((F.col("ends") != 1) & (F.col("slot") > F.col("first")), 2).otherwise(F.col("ends"))
@@ -350,7 +368,7 @@ def repair(
     whole = _of_whole(pieces.join(cut, "key", "left_anti"))
     if cut.limit(1).count():
         whole = whole.unionByName(_of_cut(pieces.join(cut, "key"), scratch))
-    return Repair(rows, coded, scratch.keep(whole, "audits"), block_bits)
+    return Repair(rows, coded, scratch.keep(whole, "audits"), role_col, text_col, block_bits)
 
 
 def report(repair: Repair) -> DataFrame:
@@ -367,18 +385,22 @@ def repaired(repair: Repair, by_conversation: bool = False) -> DataFrame:
     """All rows with their edits: key, slot, sub (they order the rows), edit, role, text, row (null for an inserted one).
 
     Blocks are dealt out; `by_conversation` keeps each conversation together and in order, in one task but never in its
-    memory, for what has to be read from end to end.
+    memory, for what has to be read from end to end. `row` holds role and text alone then.
     """
-    rows = repair.rows.select("key", "slot", F.lit(None).cast("int").alias("entry"), F.lit(None).cast("string").alias("audit"), "role", "text", "row")
-    audits = repair.audits.select("key", "slot", "entry", "audit", F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("text"), F.lit(None).cast(rows.schema["row"].dataType).alias("row"))
+    source = repair.rows.select("key", "slot", F.lit(None).cast("int").alias("entry"), F.lit(None).cast("string").alias("audit"), "row")
+    if by_conversation:
+        source = source.withColumn("row", F.struct(*[F.col("row").getField(name).alias(name) for name in (repair.role_col, repair.text_col)]))
+    audits = repair.audits.select("key", "slot", "entry", "audit", F.lit(None).cast(source.schema["row"].dataType).alias("row"))
     together = F.col("key") if by_conversation else F.shiftright("slot", repair.block_bits)
-    dealt = rows.unionByName(audits).repartition(together).sortWithinPartitions("key", "slot", F.col("audit").isNull())
+    dealt = source.unionByName(audits).repartition(together).sortWithinPartitions("key", "slot", F.col("audit").isNull())
+    role, text = (_said(F.col("row").getField(name)) for name in (repair.role_col, repair.text_col))
+    dealt = dealt.select("*", role.alias("role"), text.alias("text"))
     kinds = {"key": pa.string(), "slot": pa.int64(), "sub": pa.int32(), "edit": pa.string(), "role": pa.string(), "text": pa.string()}
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, audit, at = START, "", 0
         for batch in batches:
-            out, source = [], []
+            out, places = [], []
             columns = [batch.column(name).to_pylist() for name in ("key", "slot", "entry", "audit", "role", "text")]
             for i, (key, slot, entry, edits, role, text) in enumerate(zip(*columns)):
                 if edits is not None:
@@ -396,13 +418,13 @@ def repaired(repair: Repair, by_conversation: bool = False) -> DataFrame:
                         out.append((key, slot, sub, edit, role, text))
                         if edit == "K":
                             state = SYSTEM if role[:1] == "s" else USER if role[:1] == "u" else ANSWER
-                    source.append(None if edit == "I" else i)
+                    places.append(None if edit == "I" else i)
                     at, sub = at + 1, sub + 1
             done = _batch(out, kinds)
-            taken = batch.column("row").take(pa.array(source, pa.int64()))
+            taken = batch.column("row").take(pa.array(places, pa.int64()))
             yield pa.RecordBatch.from_arrays([*done.columns, taken], [*kinds, "row"])
 
-    schema = rows.select("key", "slot").schema.add("sub", "integer").add("edit", "string").add("role", "string").add("text", "string").add(rows.schema["row"])
+    schema = source.select("key", "slot").schema.add("sub", "integer").add("edit", "string").add("role", "string").add("text", "string").add(source.schema["row"])
     return arrow_map(dealt, of_batches, schema)
 
 
