@@ -66,17 +66,19 @@ def run(
     mode: str = "strict",
     run_id: str | None = None,
     one_line: bool = False,
+    split: bool = False,
 ) -> dict[str, DataFrame]:
     """Publish the model if every control passes, and return its tables and views.
 
     The controls are persisted before the gate, per `run_id` (the evaluation time if not given), so a
     failed run leaves its evidence under `checks` and earlier runs stay readable beside it. The model is
     written per run too, and becomes the current one when all its tables are there. In `quarantine` mode rows that do not parse are set aside under `rejects`; the raw-to-clean count control
-    then reports them. In `strict` mode they end the run. `one_line` says that the extracts have one record per line.
+    then reports them. In `strict` mode they end the run. `one_line` says that the extracts have one
+    record per line, `split` deals large ones with line breaks in values out to many tasks.
     """
     raw, raw_columns, clean = {}, {}, {}
     for name in DATASETS:
-        extract = files.read_raw(spark, f"{raw_dir}/{name}.csv", one_line)
+        extract = files.read_raw(spark, f"{raw_dir}/{name}.csv", one_line, split)
         raw_columns[name] = extract.columns
         # Raw text is parsed once; controls, staging and the star schema read the written result.
         parsed = files.materialize(cleaning.parse(files.fill_missing(extract, name), name), f"parsed-{name}")

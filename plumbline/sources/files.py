@@ -9,25 +9,24 @@ from fnmatch import fnmatch
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from plumbline.sources import records
 from plumbline.sources.contracts import CLEAN_COLUMNS, ContractError, missing_columns
 
-
-#: A whole CSV record: values in quotes with inner ones doubled, or values that don't begin with one.
-_VALUE = r'(?:"(?:[^"]++|"")*+" *+|(?:[^",][^,]*+)?+)'
-_RECORD = f"^{_VALUE}(?:,{_VALUE})*+$"
-
-
-def read_raw(spark: SparkSession, path: str, one_line: bool = False) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, one_line: bool = False, split: bool = False) -> DataFrame:
     """CSV with a header as it is, every column text.
 
-    A quoted value may hold line breaks, so a file is read by one task: a large extract comes as a folder of files, or
-    with `one_line`, from a feed that guarantees one record per line. Its files are split among tasks, and checked
-    before: a line with an unbalanced quote raises.
+    A quoted value may hold line breaks, so by default a file is read by one task, which suits extracts that come as a
+    folder of files. `split` deals large files out to many tasks and finds their records there. With `one_line`, for a
+    feed that guarantees one record per line, files are split among tasks without that, and checked before: a line with
+    an unbalanced quote raises.
     """
+    if split:
+        return records.read_records(spark, path, materialize)
     if one_line:
-        broken = spark.read.text(path).where(~F.col("value").rlike(_RECORD)).first()
+        numbered = spark.read.text(path).select("_metadata.file_path", "_metadata.file_block_start", "value")
+        broken = numbered.where(~F.rlike("value", F.lit(records.RECORD))).first()
         if broken is not None:
-            raise ContractError(f"unbalanced quote in {path}: {broken.value[:80]}")
+            raise ContractError(f"unbalanced quote in {broken.file_path}, in the block from byte {broken.file_block_start}")
     return spark.read.option("header", True).option("escape", '"').option("multiLine", not one_line).csv(path)
 
 
@@ -37,12 +36,12 @@ def fill_missing(raw: DataFrame, dataset: str) -> DataFrame:
     return raw.withColumns({name: F.lit(None).cast("string") for name in missing}) if missing else raw
 
 
-def read_extract(spark: SparkSession, path: str, dataset: str, one_line: bool = False) -> DataFrame:
+def read_extract(spark: SparkSession, path: str, dataset: str, one_line: bool = False, split: bool = False) -> DataFrame:
     """Raw CSV extract that has its required columns.
 
     Columns are matched by name, so their order and extra columns do not matter.
     """
-    raw = read_raw(spark, path, one_line)
+    raw = read_raw(spark, path, one_line, split)
     missing = missing_columns(raw.columns, dataset)
     if missing:
         raise ContractError(f"{dataset} missing required columns: {missing}")

@@ -429,10 +429,10 @@ def governance_run(spark, sf):
 
 @register
 def staged_round_trip(spark, sf):
-    """Texts with line breaks, quotes and commas, written as an extract and read back."""
+    """Texts with line breaks, quotes and commas, written as one file and read back by many tasks."""
     base = _run_dir(spark)
-    files.write_extract(b.table(spark, sf, "documents").select("doc_id", "text"), base)
-    return files.read_raw(spark, base).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    files.write_extract(b.table(spark, sf, "documents").select("doc_id", "text").coalesce(1), base)
+    return files.read_raw(spark, base, split=True).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
 
 # --- governance metrics ---------------------------------------------------------------------------
