@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from plumbline.functions.parsing import date_key
-from plumbline.operators.keys import add_dense_key
+from plumbline.operators.keys import add_dense_key, add_ordered_key
 
 
 def calendar(dates: DataFrame) -> DataFrame:
@@ -27,13 +27,27 @@ def dim_date(orders: DataFrame, controls: DataFrame) -> DataFrame:
 
 def dim_customer(customers: DataFrame) -> DataFrame:
     """One row per customer, numbered by business key."""
-    columns = ["customer_id", "customer_name", "segment", "status", "created_date"]
-    return add_dense_key(customers.select(*columns), "customer_key", columns)
+    rows = customer_rows(customers)
+    return add_dense_key(rows, "customer_key", rows.columns)
+
+
+def with_kept_key(rows: DataFrame, keys: DataFrame, by: str, key: str) -> DataFrame:
+    """Dimension rows with the numbers of a stored key map (`keys.keep_keys`)."""
+    held = keys.select(F.col(by).alias("_by"), key)
+    return rows.join(held, F.col(by).eqNullSafe(F.col("_by"))).select(key, *rows.columns)
+
+
+def customer_rows(customers: DataFrame) -> DataFrame:
+    return customers.select("customer_id", "customer_name", "segment", "status", "created_date")
+
+
+def category_rows(orders: DataFrame) -> DataFrame:
+    return orders.select(F.col("category").alias("category_code")).distinct()
 
 
 def dim_category(orders: DataFrame) -> DataFrame:
     """Distinct categories, numbered in sorted order (O4). The codes of a conformed domain fit one window."""
-    codes = orders.select(F.col("category").alias("category_code")).distinct()
+    codes = category_rows(orders)
     number = F.row_number().over(W.orderBy("category_code")).cast("bigint")
     return codes.select(number.alias("category_key"), "category_code")
 
@@ -59,10 +73,15 @@ def order_facts(orders: DataFrame, customers: DataFrame, categories: DataFrame)
 
 
 def fact_sales_order(orders: DataFrame, customers: DataFrame, categories: DataFrame) -> DataFrame:
-    """`order_facts` numbered by order id, as the published table is."""
+    """`order_facts` numbered by order id without gaps."""
     return add_dense_key(order_facts(orders, customers, categories), "order_key", ["order_id"])
 
 
+def published_orders(orders: DataFrame, customers: DataFrame, categories: DataFrame) -> DataFrame:
+    """`order_facts` with an order key that ascends with the order id, as the published table is: written only once."""
+    return add_ordered_key(order_facts(orders, customers, categories), "order_key", ["order_id"])
+
+
 def control_facts(controls: DataFrame) -> DataFrame:
     """Controls with their date key, which is computed and not looked up."""
     return controls.select(

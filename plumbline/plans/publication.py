@@ -6,7 +6,8 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from plumbline.operators import checks, cleaning, recon, star
+from plumbline.functions.parsing import utc_stamp
+from plumbline.operators import checks, cleaning, keys, recon, star
 from plumbline.plans import views
 from plumbline.sources import files
 from plumbline.sources.contracts import CHECK_SCHEMA, CLEAN_COLUMNS, Policy
@@ -16,10 +17,11 @@ MODEL = ("dim_date", "dim_customer", "dim_category", "fact_sales_order", "fact_r
 PUBLISHED_SCHEMA = "run_id string, published_at timestamp"
 
 
-def load_model(clean: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
+def load_model(clean: dict[str, DataFrame], path: str, keys_path: str) -> dict[str, DataFrame]:
     """Rebuild the star tables in Parquet.
 
-    Dimensions are written first and read back, so the facts are joined to tables of known size.
+    Dimensions are written first and read back, so the facts are joined to tables of known size; each fact is written
+    once. The keys of customers and categories come from maps below `keys_path`, so they are the same in every run.
     """
     spark = clean["customers"].sparkSession
 
@@ -27,13 +29,16 @@ def load_model(clean: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
         files.write_governed(df, f"{path}/{name}")
         return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
+    def kept(name: str, rows: DataFrame, by: str) -> DataFrame:
+        return star.with_kept_key(rows, keys.keep_keys(rows, f"{keys_path}/{name}", f"{name}_key", by), by, f"{name}_key")
+
     customers, orders, controls = clean["customers"], clean["sales_orders"], clean["gl_controls"]
     model = {
         "dim_date": write("dim_date", star.dim_date(orders, controls)),
-        "dim_customer": write("dim_customer", star.dim_customer(customers)),
-        "dim_category": write("dim_category", star.dim_category(orders)),
+        "dim_customer": write("dim_customer", kept("customer", star.customer_rows(customers), "customer_id")),
+        "dim_category": write("dim_category", kept("category", star.category_rows(orders), "category_code")),
     }
-    fact = star.fact_sales_order(orders, model["dim_customer"], model["dim_category"])
+    fact = star.published_orders(orders, model["dim_customer"], model["dim_category"])
     model["fact_sales_order"] = write("fact_sales_order", fact)
     model["fact_reconciliation_control"] = write(
         "fact_reconciliation_control", star.fact_reconciliation_control(controls)
@@ -41,16 +46,16 @@ def load_model(clean: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
     return model
 
 
-def _switch(spark: SparkSession, out_dir: str, run_id: str) -> None:
+def _switch(spark: SparkSession, out_dir: str, run_id: str, at: datetime) -> None:
     """Make a run's model the current one, by one appended row."""
-    done = spark.range(1).select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("published_at"))
+    done = spark.range(1).select(F.lit(run_id).alias("run_id"), utc_stamp(at).alias("published_at"))
     files.append_governed(done.coalesce(1), f"{out_dir}/published")
 
 
 def current_model(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     """Star tables of the run that was published last; a run that is under way or has failed is not seen."""
     runs = files.read_governed(spark, f"{out_dir}/published", PUBLISHED_SCHEMA)
-    last = runs.orderBy(F.desc("published_at")).first()
+    last = runs.orderBy(F.desc("published_at"), F.desc("run_id")).first()
     if last is None:
         raise LookupError(f"nothing is published in {out_dir}")
     return {name: spark.read.parquet(f"{out_dir}/model/run_id={last.run_id}/{name}") for name in MODEL}
@@ -100,8 +105,8 @@ def run(
 
     for name in DATASETS:
         files.write_extract(clean[name], f"{out_dir}/staging/{name}_clean.csv")
-    model = load_model(clean, f"{out_dir}/model/run_id={run_id}")
-    _switch(spark, out_dir, run_id)
+    model = load_model(clean, f"{out_dir}/model/run_id={run_id}", f"{out_dir}/keys")
+    _switch(spark, out_dir, run_id, evaluated_at)
     published = {**model, "dq_check_result": results, **views.model_views(model, results)}
     views.install(spark, published)
     return published

@@ -158,6 +158,15 @@ def curated_fact(spark: SparkSession, sf: str) -> DataFrame:
     return fact(spark, sf, f"o_totalprice >= {CURATED_FLOOR}")
 
 
+def drifted_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """A copy of the orders that lost the smallest, changed the largest and has urgent half-shipped ones twice, once under another key."""
+    orders = sales_orders(spark, sf, f"o_totalprice >= {CURATED_FLOOR}")
+    amount = F.col("order_amount")
+    changed = orders.withColumn("order_amount", F.when(amount >= SOURCE_CEILING, amount + 1).otherwise(amount).cast(MONEY))
+    again = sales_orders(spark, sf, "o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'")
+    return changed.unionByName(again.withColumn("order_id", F.concat(F.lit("X"), "order_id")))
+
+
 def order_days(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("order_date"))
 

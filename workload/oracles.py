@@ -694,3 +694,21 @@ ORACLES["score_masked_samples"] = f"""WITH f AS (
   SELECT 'STATUS', {_REFERENCE} FROM orders WHERE o_orderstatus NOT IN ('F', 'O'))
 SELECT rule_id, record_reference, CAST(row_number() OVER (PARTITION BY rule_id ORDER BY record_reference) AS INTEGER) AS sample_no
 FROM f QUALIFY sample_no <= 5"""
+
+ORACLES["recon_keys"] = f"""
+SELECT 'SO' || o_orderkey AS order_id,
+       CASE WHEN o_totalprice < {b.CURATED_FLOOR} THEN 'MISSING' ELSE 'CHANGED' END AS status,
+       1 AS source_rows, CASE WHEN o_totalprice < {b.CURATED_FLOOR} THEN 0 ELSE 1 END AS target_rows
+FROM orders WHERE o_totalprice < {b.CURATED_FLOOR} OR o_totalprice >= {b.SOURCE_CEILING}
+UNION ALL
+SELECT 'XSO' || o_orderkey, 'EXTRA', 0, 1 FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'"""
+
+ORACLES["recon_keys_equal"] = f"""WITH {SALES},
+a AS (SELECT substr(customer_id, 2) AS customer, sum(cents) AS cents FROM so GROUP BY ALL),
+f AS (SELECT CAST(o_custkey AS VARCHAR) AS customer, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents FROM orders GROUP BY ALL)
+SELECT coalesce(a.customer, f.customer) AS customer, '' AS status, 0 AS source_rows, 0 AS target_rows
+FROM a FULL JOIN f ON a.customer = f.customer WHERE a.cents IS DISTINCT FROM f.cents"""
+
+ORACLES["kept_customer_keys"] = f"""WITH {SALES}, {CUSTOMERS}
+SELECT row_number() OVER (ORDER BY status, customer_id) AS customer_key, customer_id, customer_name, segment, status, created_date
+FROM cu"""

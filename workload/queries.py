@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions.numeric import percent
 from plumbline.functions.parsing import month_start
-from plumbline.operators import checks, cleaning, eda, kpi, profile, recon, rules, scorecard, star
+from plumbline.operators import checks, cleaning, eda, keys, kpi, populations, profile, recon, rules, scorecard, star
 from plumbline.plans import governance, publication
 from plumbline.sources import files
 from plumbline.sources.contracts import CHECK_SCHEMA
@@ -153,6 +153,32 @@ def recon_close(spark, sf):
     return recon.close(_recon_daily(spark, sf))
 
 
+@register
+def recon_keys(spark, sf):
+    """Orders against a copy that drifted, order by order; only buckets of orders that differ are compared."""
+    values = ["customer_id", "order_date", "order_amount", "currency", "category"]
+    return populations.compare_keys(b.sales_orders(spark, sf), b.drifted_orders(spark, sf), ["order_id"], values)
+
+
+@register
+def recon_keys_equal(spark, sf):
+    """Invoiced amounts per customer, from orders and from the fact: the populations agree."""
+    by_customer = [
+        b.sales_orders(spark, sf).groupBy(F.expr("substring(customer_id, 2)").alias("customer")).agg(F.sum("order_amount").alias("amount")),
+        b.fact(spark, sf).groupBy(F.col("customer_key").cast("string").alias("customer")).agg(F.sum("order_amount").alias("amount")),
+    ]
+    return populations.compare_keys(*by_customer, ["customer"], ["amount"])
+
+
+@register
+def kept_customer_keys(spark, sf):
+    """Customer keys after two runs: active customers first, all of them in the second; the first ones keep theirs."""
+    path, customers = f"{_run_dir(spark)}/keys", b.customers(spark, sf).drop("customer_key")
+    keys.keep_keys(customers.where("status = 'ACTIVE'"), path, "customer_key", "customer_id")
+    kept = keys.keep_keys(customers, path, "customer_key", "customer_id")
+    return star.with_kept_key(star.customer_rows(customers), kept, "customer_id", "customer_key")
+
+
 # --- control suite --------------------------------------------------------------------------------
 
 
