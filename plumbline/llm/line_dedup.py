@@ -8,7 +8,7 @@ later one. Only hashes travel until then; identical texts are one.
 The result is that of aligning every text with every earlier one it overlaps; a pair that can't delete more is left out.
 Each line first links every later text to the first text that holds it, n - 1 links for a line in n texts. A line that
 is still there after that links its text to some more holders, in the last round to all earlier ones, so only lines of
-which the alignments keep failing (repeated in the text, or in another order) cost all their pairs.
+which the alignments keep failing (in another order) cost all their pairs.
 
 Texts are ordered by least identifier (null ones last), then digest. A later row with the text of an earlier one loses
 all of it, however short.
@@ -144,8 +144,19 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _counted(lines: list[int]) -> Iterator[tuple[int, int]]:
+    """Each line with its number among its equals."""
+    seen: Counter = Counter()
+    for line in lines:
+        yield line, seen[line]
+        seen[line] += 1
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Aligned lines (place in a, place in b): equal ends first, then lines unique in both, again between those."""
+    """Aligned lines (place in a, place in b): equal ends first, then lines unique in both, again between those.
+
+    Between them, where only lines are shared that repeat, those are aligned by their occurrence.
+    """
     out: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
     while todo:
@@ -161,6 +172,10 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
         place = {b[j]: j for j in range(b0, b1) if in_b[b[j]] == 1}
         anchors = _rising([(i, place[a[i]]) for i in range(a0, a1) if in_a[a[i]] == 1 and a[i] in place])
+        if not anchors:
+            # Lines that repeat: the first one of either side belongs to the first of the other, and so on.
+            places = {key: j for j, key in enumerate(_counted(b[b0:b1]), b0)}
+            anchors = _rising([(i, places[key]) for i, key in enumerate(_counted(a[a0:a1]), a0) if key in places])
         if not anchors:
             continue
         edges = [*anchors, (a1, b1)]

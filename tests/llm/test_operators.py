@@ -446,11 +446,30 @@ def kept_lines(spark, data):
 def test_line_dedup_aligns_later_holders(spark):
     p, q = "this passage is the first of two", "that passage is the second of two"
     repeated = [(0, f"a\n{p}\nb\n{p}\nc"), (1, f"d\n{p}\ne"), (2, f"f\n{p}\ng"), (3, f"h\n{p}\ni")]
-    assert kept_lines(spark, repeated) == {0: repeated[0][1], 1: repeated[1][1], 2: "f\ng", 3: "h\ni"}
+    assert kept_lines(spark, repeated) == {0: repeated[0][1], 1: "d\ne", 2: "f\ng", 3: "h\ni"}
     crossed = [(0, f"a\n{p}\nb\n{q}\nc"), (1, f"d\n{q}\ne\n{p}\nf"), (2, f"g\n{q}\nh\n{p}\ni")]
     assert kept_lines(spark, crossed) == brute_all_pairs(crossed) and kept_lines(spark, crossed)[2] == "g\nh\ni"
 
 
+def test_line_dedup_links_follow_the_occurrences_of_a_repeated_line(spark, monkeypatch):
+    """A line that stands twice in each text, between lines of its own, is deleted with n - 1 links."""
+    links, keep = [], Scratch.keep
+
+    def spied(self, df, name, collect=False):
+        out = keep(self, df, name, collect)
+        if name == "links":
+            links.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", spied)
+    footer = "this footer stands in each of the texts"
+    for n in (100, 200):
+        links.clear()
+        data = [(i, f"one {i}\n{footer}\ntwo {i}\n{footer}\nthree {i}") for i in range(n)]
+        assert kept_lines(spark, data) == {0: data[0][1], **{i: f"one {i}\ntwo {i}\nthree {i}" for i in range(1, n)}}
+        assert sum(links) == n - 1
+
+
 @pytest.mark.parametrize("holders", [(), (2, 3)])
 def test_line_dedup_is_that_of_all_pairs(spark, monkeypatch, holders):
     rng = random.Random(12)
