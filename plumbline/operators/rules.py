@@ -6,16 +6,18 @@ import json
 from collections import Counter
 from collections.abc import Iterator
 from datetime import date, datetime
+from functools import reduce
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from plumbline.functions.parsing import utc_stamp
 from plumbline.functions.frames import literal_rows
 from plumbline.functions.numeric import ratio_half_even
 from plumbline.operators.checks import orphan_rows
 from plumbline.sources.contracts import SEVERITIES, ContractError
+from plumbline.sources.files import materialize
 
 # Fields every rule has, and those each kind adds, with their types.
 RULE_FIELDS = {"rule_id": str, "dataset": str, "kind": str, "severity": str, "owner": str, "description": str}
@@ -137,6 +139,76 @@ def evaluate_rules(
     )
 
 
+def versions_in_effect(days: DataFrame, versions: DataFrame) -> DataFrame:
+    """rule_id, day and the version in effect on it; days before a rule's first version have none.
+
+    Days and starts of versions are put in one order, and the last version carried forward: one sort of a row per rule,
+    day and version, whatever the number of versions.
+    """
+    starts = versions.select("rule_id", F.col("effective_from").alias("day"), F.col("version").alias("_starts"))
+    line = days.select("rule_id", "day").distinct().withColumn("_starts", F.lit(None).cast(starts.schema["_starts"].dataType)).unionByName(starts)
+    # The start of a version comes before the day it begins on.
+    order = W.partitionBy("rule_id").orderBy("day", F.col("_starts").isNull(), "_starts")
+    carried = F.last("_starts", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0))
+    return line.withColumn("version", carried).where("_starts IS NULL AND version IS NOT NULL").drop("_starts")
+
+
+def evaluate_versions(
+    frames: dict[str, DataFrame],
+    day_columns: dict[str, str],
+    conditions: list[dict[str, Any]],
+    versions: DataFrame,
+    evaluated_at: datetime,
+) -> DataFrame:
+    """One row per rule and version that judged rows: each row by the version in effect on its own day.
+
+    `conditions`: expression rules, each with its `version`; a rule comes once for every version. `versions`: rule_id,
+    version, effective_from. `day_columns` names the day of a row, by dataset. A dataset is read once and summed up by day
+    under all versions of its rules; the version of each day is chosen from those few rows.
+    """
+    found = [f for f in _findings(conditions) if "is defined twice" not in f]
+    found += [f"{r.get('rule_id')} is of kind {r.get('kind')}, only expressions have versions" for r in conditions if r.get("kind") != "expression"]
+    found += [f"{name} version {v} is defined {n} times" for (name, v), n in Counter((r.get("rule_id"), r.get("version")) for r in conditions).items() if n > 1]
+    if found:
+        raise ContractError("; ".join(found))
+    spark, parts = versions.sparkSession, []
+    for dataset in dict.fromkeys(rule["dataset"] for rule in conditions):
+        counts = [
+            F.struct(
+                F.lit(rule["rule_id"]).alias("rule_id"),
+                F.lit(rule["version"]).cast("int").alias("version"),
+                F.count("*").alias("evaluated_rows"),
+                F.count_if(~F.expr(rule["condition"])).alias("failed_rows"),
+            )
+            for rule in conditions
+            if rule["dataset"] == dataset
+        ]
+        by_day = frames[dataset].groupBy(F.col(day_columns[dataset]).cast("date").alias("day"))
+        parts.append(by_day.agg(F.array(*counts).alias("counts")).select("day", F.inline("counts")))
+    counted = materialize(reduce(DataFrame.unionByName, parts), "rule-days")
+    in_effect = versions_in_effect(counted, versions.withColumn("version", F.col("version").cast("int")))
+    fields = [f for f in RULE_FIELDS if f not in ("kind", "rule_id")]
+    rows = [(r["rule_id"], r["version"], *[r[f] for f in fields]) for r in conditions]
+    catalog = literal_rows(spark, rows, {"rule_id": "string", "version": "int", **dict.fromkeys(fields, "string")})
+    totals = counted.join(in_effect, ["rule_id", "day", "version"]).groupBy("rule_id", "version").agg(
+        F.sum("evaluated_rows").alias("evaluated_rows"), F.sum("failed_rows").alias("failed_rows")
+    )
+    rate = ratio_half_even(F.col("failed_rows"), F.col("evaluated_rows"))
+    return totals.join(catalog, ["rule_id", "version"]).select(
+        "rule_id",
+        "version",
+        "dataset",
+        "severity",
+        "owner",
+        "description",
+        F.when(F.col("failed_rows") > 0, "FAIL").otherwise("PASS").alias("status"),
+        "evaluated_rows",
+        "failed_rows",
+        F.coalesce(rate.cast("double"), F.lit(100.0)).alias("failed_rate_pct"),
+        utc_stamp(evaluated_at).alias("evaluated_at_utc"),
+    )
+
+
 def rule_status(results: DataFrame) -> DataFrame:
     """Rules and failed rows by severity, owner and status."""
     return results.groupBy("severity", "owner", "status").agg(

@@ -99,6 +99,21 @@ RULES = {
 }
 
 
+#: A rule whose limit was raised once and tightened later, and one that came in between; and since when each version holds.
+VERSIONED = [
+    _rule("ORDER_LIMIT", "sales_orders", "expression", "HIGH", "Credit", "First limit", condition="order_amount < 300000.00", version=1),
+    _rule("ORDER_LIMIT", "sales_orders", "expression", "HIGH", "Credit", "Raised limit", condition="order_amount < 400000.00", version=2),
+    _rule("ORDER_LIMIT", "sales_orders", "expression", "CRITICAL", "Risk", "Tight limit", condition="order_amount < 250000.00 OR category = '1_URGENT'", version=3),
+    _rule("ORDER_SETTLED", "sales_orders", "expression", "LOW", "Fulfilment", "No order is half shipped", condition="currency <> 'P'", version=1),
+]
+IN_EFFECT = [
+    ("ORDER_LIMIT", 1, date(1992, 1, 1)), ("ORDER_LIMIT", 2, date(1995, 6, 17)), ("ORDER_LIMIT", 3, date(1997, 3, 1)),
+    ("ORDER_SETTLED", 1, date(1996, 2, 10)),
+]
+#: The days a profile is merged for.
+RANGE = (date(1994, 3, 5), date(1996, 11, 20))
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 

@@ -712,3 +712,25 @@ FROM a FULL JOIN f ON a.customer = f.customer WHERE a.cents IS DISTINCT FROM f.c
 ORACLES["kept_customer_keys"] = f"""WITH {SALES}, {CUSTOMERS}
 SELECT row_number() OVER (ORDER BY status, customer_id) AS customer_key, customer_id, customer_name, segment, status, created_date
 FROM cu"""
+
+ORACLES["column_profile_merged"] = f"""WITH {SALES}, w AS (
+  SELECT * FROM so WHERE order_date BETWEEN DATE '{b.RANGE[0]}' AND DATE '{b.RANGE[1]}'),
+""" + _profile(
+    "w",
+    "sales_orders",
+    {"order_id": "order_id", "customer_id": "customer_id", "order_amount": _MONEY_TEXT, "currency": "currency", "category": "category"},
+).replace("distinct_count, min_value, max_value\nFROM p", "min_value, max_value, true AS estimate_within_bound,\n       CASE WHEN column_name = 'order_amount' THEN true END AS quartiles_within_bound\nFROM p")
+
+_LIMITS = {
+    "ORDER_LIMIT": {1: "cents >= 30000000", 2: "cents >= 40000000", 3: "cents >= 25000000 AND category <> '1_URGENT'"},
+    "ORDER_SETTLED": {1: "currency = 'P'"},
+}
+ORACLES["rule_results_by_version"] = f"WITH {SALES}, c AS (" + " UNION ALL ".join(
+    f"""SELECT '{r['rule_id']}' AS rule_id, {r['version']} AS version, '{r['dataset']}' AS dataset, '{r['severity']}' AS severity,
+ '{r['owner']}' AS owner, '{r['description']}' AS description, count(*) AS n, count(*) FILTER ({_LIMITS[r['rule_id']][r['version']]}) AS failed
+FROM so WHERE order_date >= DATE '{since}'""" + (f" AND order_date < DATE '{until}'" if until else "")
+    for r in b.VERSIONED
+    for since in [next(d for name, v, d in b.IN_EFFECT if (name, v) == (r["rule_id"], r["version"]))]
+    for until in [min((d for name, v, d in b.IN_EFFECT if name == r["rule_id"] and d > since), default=None)]
+) + f""") SELECT rule_id, version, dataset, severity, owner, description, CASE WHEN failed = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
+ n AS evaluated_rows, failed AS failed_rows, {half_even_percent('failed', 'n')} AS failed_rate_pct FROM c"""

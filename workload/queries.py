@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date, timedelta
 from decimal import Decimal
 from functools import reduce
 
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions.numeric import percent
 from plumbline.functions.parsing import month_start
-from plumbline.operators import checks, cleaning, eda, keys, kpi, populations, profile, recon, rules, scorecard, star
+from plumbline.operators import checks, cleaning, eda, keys, kpi, populations, profile, profile_state, recon, rules, scorecard, star
 from plumbline.plans import governance, publication
 from plumbline.sources import files
 from plumbline.sources.contracts import CHECK_SCHEMA
@@ -289,6 +290,41 @@ def column_profile_approximate(spark, sf):
     return exact.join(sketched, "column_name").select(*exact.columns, (exactly & near).alias("estimate_within_bound"))
 
 
+@register
+def column_profile_merged(spark, sf):
+    """Orders of a range of days from the states of those days, the exact profile beside the estimates.
+
+    The days are stated twice: first from a copy that drifted, then, in two runs, as they are.
+    """
+    path, orders, (first, last) = f"{_run_dir(spark)}/profile", b.sales_orders(spark, sf), b.RANGE
+    middle, far = date(1995, 6, 30), date(2030, 1, 1)
+    for df, since, until, hour in (
+        (b.drifted_orders(spark, sf), date(1990, 1, 1), far, 1),
+        (orders, date(1990, 1, 1), middle, 2),
+        (orders, middle + timedelta(days=1), far, 3),
+    ):
+        profile_state.keep_state(df, "sales_orders", "order_date", since, until, b.EVALUATED_AT.replace(hour=hour), path)
+    found = files.materialize(profile_state.merged(profile_state.current_state(spark, path), first, last), "merged")
+    within = orders.where(F.col("order_date").between(F.lit(first), F.lit(last)))
+    exact = _profile(within.drop("order_date"), "sales_orders").select("column_name", F.col("distinct_count").alias("exact"))
+    quartiles = found.where("column_name = 'order_amount'").first().quartiles
+    shares = within.agg(*[F.avg((F.col("order_amount") <= q).cast("double")).alias(f"q{i}") for i, q in enumerate(quartiles)]).first()
+    ranked = all(abs(share - (i + 1) / 4) < 0.02 for i, share in enumerate(shares))
+    near = F.abs(F.col("distinct_count") - F.col("exact")) * 20 <= F.col("exact") + 20
+    return found.join(exact, "column_name").select(
+        "dataset", "column_name", "row_count", "null_count", "null_rate_pct", "min_value", "max_value", near.alias("estimate_within_bound"),
+        F.when(F.col("column_name") == "order_amount", F.lit(ranked)).alias("quartiles_within_bound"),
+    )
+
+
+@register
+def rule_results_by_version(spark, sf):
+    """Each order judged by the version of a rule that was in effect on its day."""
+    versions = spark.createDataFrame(b.IN_EFFECT, "rule_id string, version int, effective_from date")
+    found = rules.evaluate_versions({"sales_orders": b.sales_orders(spark, sf)}, {"sales_orders": "order_date"}, b.VERSIONED, versions, b.EVALUATED_AT)
+    return found.drop("evaluated_at_utc")
+
+
 def _results(spark, sf):
     return rules.evaluate_rules(b.rule_frames(spark, sf), b.RULES, b.DAY, b.EVALUATED_AT)
 
