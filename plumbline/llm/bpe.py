@@ -34,11 +34,9 @@ from plumbline.llm.common import arrow_map, packed, slices, whole
 
 MAX_VOCABULARY = 64 << 20
 #: Kept chunks of text at most, and the length in characters up to which one is kept.
-KEPT, KEPT_LENGTH = 400_000, 40
+KEPT, KEPT_LENGTH = 200_000, 40
 #: Pre-tokens that one index holds.
-INDEXED = 400_000
-#: Bytes of text that a task encodes at once; a longer text is handled alone.
-SLICE_BYTES = 4 << 20
+INDEXED = 100_000
 #: Ranks of a block, and positions from which a rank is applied by arrays.
 BLOCK, MANY = 512, 48
 #: The pre-tokens of the byte-level splitter (a fixed value), and the first character for which versions of Unicode differ.
@@ -194,9 +192,9 @@ class Codec:
             self.bytes_of[i] = bytes(byte_of[c] for c in token)
         for token, i in self.special.items():
             self.bytes_of[i] = token.encode()
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         """Empty tables; the special tokens are the first sequences."""
         self.start: dict[str, int] = {}
         self.after: dict[str, int] = {}
@@ -339,7 +337,7 @@ class Codec:
         stay = self.met > 1
         stay[: len(self.special)] = True
         if stay.sum() > KEPT // 2:
-            return self._forget()
+            return self.forget()
         new = np.cumsum(stay) - 1
         self.after = {c: int(new[k]) for c, k in self.after.items() if stay[k]}
         self.start = {c: int(new[k]) for c, k in self.start.items() if stay[k]}
@@ -412,12 +410,13 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", decoded: bo
         codec = _codec(sent.value)
         for batch in batches:
             texts = batch.column("text")
-            for a, b in slices(pc.binary_length(texts).to_pylist(), SLICE_BYTES):
+            for a, b in slices(pc.binary_length(texts).to_pylist()):
                 ids = codec.encode(texts.slice(a, b - a).to_pylist())
                 columns = {"row": batch.column("row").slice(a, b - a), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
                 if decoded:
                     columns["decoded"] = pa.array(map(codec.decode, ids), pa.string())
                 yield pa.RecordBatch.from_arrays([*columns.values()], [*columns])
+        codec.forget()  # a worker goes on to other tasks
 
     rows = docs.select(packed(docs).alias("row"), whole(text_col).alias("text"))
     schema = rows.select("row").schema.add("n_tokens", "long").add("ids", "binary")

@@ -424,7 +424,7 @@ def repaired(repair: Repair, by_conversation: bool = False) -> DataFrame:
             taken = batch.column("row").take(pa.array(places, pa.int64()))
             yield pa.RecordBatch.from_arrays([*done.columns, taken], [*kinds, "row"])
 
-    schema = source.select("key", "slot").schema.add("sub", "integer").add("edit", "string").add("role", "string").add("text", "string").add(source.schema["row"])
+    schema = source.select("key", "slot").schema.add("sub", "integer").add("edit", "string").add("role", "string").add("text", "string").add("row", source.schema["row"].dataType)
     return arrow_map(dealt, of_batches, schema)
 
 

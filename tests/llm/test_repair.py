@@ -145,6 +145,23 @@ def test_repaired_rows_keep_other_columns(spark):
     assert {r.conv_id: (r.cost, r.duplicate) for r in repair.report(done).collect()} == {c: (v[5], v[2]) for c, v in brute(plain, damage=False).items()}
 
 
+def test_inserted_rows_under_compiled_plans(spark):
+    """A row that was inserted has a null `row`, which a compiled plan has to expect."""
+    names = ("spark.sql.codegen.wholeStage", "spark.sql.codegen.factoryMode")
+    before = {name: spark.conf.get(name) for name in names}
+    spark.conf.set(names[0], "true")
+    spark.conf.set(names[1], "CODEGEN_ONLY")
+    try:
+        rows = [(1, 0, "user", "Yes."), (1, 1, "user", "No."), (2, 0, "assistant", "Yes.")]
+        df = spark.createDataFrame(rows, SCHEMA)
+        assert found(queries.op11_digest(df)) == brute(rows)
+        done = repair.repair(df)
+        assert repair.repaired(done).schema["row"].nullable and repair.repaired(done, True).schema["row"].nullable
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_prices_are_exact_and_pieces_compose():
     rng = random.Random(2)
     for _ in range(300):
