@@ -21,6 +21,7 @@ from plumbline.sources.contracts import Policy
 
 EVALUATED_AT = datetime(2024, 2, 5, 6, 0)
 DAY = date(2024, 2, 5)
+STATE_DAYS = [date(2024, 1, 8), date(2024, 1, 15), date(2024, 1, 25)]
 
 SOURCE_CEILING = 499000  # the source did not book orders from here on
 CURATED_FLOOR = 2000  # the curated side lost orders below this
@@ -366,6 +367,17 @@ def event_incidents(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]
     return incidents, updates
 
 
+def evaluations(spark: SparkSession, sf: str) -> DataFrame:
+    """An evaluation an hour after every event; it passes for a tenth of them."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    return table(spark, sf, "events").select(
+        F.upper("event_type").alias("rule_id"),
+        F.lit("events").alias("dataset"),
+        F.when(k % 10 == 7, "PASS").otherwise("FAIL").alias("status"),
+        F.timestamp_add("HOUR", F.lit(1), F.col("ts")).alias("evaluated_at"),
+    )
+
+
 def rule_history(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Daily outcomes per event type, and two versions per rule, the second from a fortnight on."""
     daily = table(spark, sf, "events").groupBy(

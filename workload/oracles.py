@@ -575,6 +575,31 @@ ORACLES["score_timeliness"] = f"""WITH {REFRESHES}, t AS (
   FROM refreshes GROUP BY 1, 2)
 SELECT *, {percent('on_time', 'scheduled')} AS timeliness_pct FROM t"""
 
+REFRESH_RUNS = f"""{REFRESHES},
+off AS (SELECT CAST(ts AS DATE) AS day FROM events WHERE date_diff('day', DATE '2024-01-02', CAST(ts AS DATE)) % 9 = 0),
+open_days AS (
+  SELECT day, row_number() OVER (ORDER BY day) AS number
+  FROM (SELECT CAST(unnest(generate_series(min(due_date), max(due_date), INTERVAL 1 DAY)) AS DATE) AS day FROM refreshes)
+  WHERE isodow(day) < 6 AND day NOT IN (SELECT day FROM off)),
+judged AS (
+  SELECT product, day, number, refresh_status = 'ON_TIME' AS on_time FROM refreshes JOIN open_days ON due_date = day),
+islands AS (
+  SELECT *, number - row_number() OVER (PARTITION BY product, on_time ORDER BY number) AS island FROM judged),
+runs AS (
+  SELECT product, on_time, min(day) AS first_day, max(day) AS last_day, count(*) AS business_days
+  FROM islands GROUP BY product, on_time, island)"""
+
+ORACLES["score_refresh_runs"] = f"WITH {REFRESH_RUNS} SELECT * FROM runs"
+
+ORACLES["score_refresh_streaks"] = f"""WITH {REFRESH_RUNS}, best AS (
+  SELECT * FROM runs WHERE on_time QUALIFY row_number() OVER (PARTITION BY product ORDER BY business_days DESC, first_day) = 1),
+gap AS (
+  SELECT product, count(*) FILTER (NOT on_time) AS gaps, coalesce(max(business_days) FILTER (NOT on_time), 0) AS longest_gap
+  FROM runs GROUP BY product)
+SELECT product, coalesce(business_days, 0) AS longest_on_time, first_day AS streak_from, last_day AS streak_to, gaps,
+       longest_gap, coalesce(business_days, 0) >= 3 AS reached
+FROM gap LEFT JOIN best USING (product)"""
+
 ORACLES["score_variance"] = f"""WITH {RECON}, v AS (
   SELECT calendar_date, currency_code, {percent('abs(s_c - c_c)', 'greatest(s_c, 100)', 4)} AS variance_pct FROM r)
 SELECT *, CASE WHEN variance_pct <= 20 THEN 'GREEN' WHEN variance_pct <= 25 THEN 'AMBER' ELSE 'RED' END AS rag FROM v"""
@@ -666,6 +691,39 @@ ORACLES["score_exception_register"] = f"WITH {REGISTER} SELECT * FROM register"
 ORACLES["open_incidents"] = f"""WITH {REGISTER}
 SELECT * REPLACE ('OPEN' AS status, CAST(NULL AS TIMESTAMP) AS resolved_at) FROM register WHERE status = 'IN_PROGRESS'"""
 
+INCIDENT_STATES = """
+e AS (SELECT *, upper(event_type) AS rule_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+             upper(event_type) || '|events|' || CAST(CAST(ts AS DATE) AS VARCHAR) AS key FROM events),
+opened AS (SELECT key, rule_id, min(ts) AS moment FROM e GROUP BY ALL),
+passed AS (
+  SELECT key, min(p.moment) AS moment
+  FROM opened JOIN (SELECT DISTINCT rule_id, ts + INTERVAL 1 HOUR AS moment FROM e WHERE k % 10 = 7) p
+    ON p.rule_id = opened.rule_id AND p.moment > opened.moment GROUP BY key),
+said AS (
+  SELECT key, moment, 0 AS rank, 'OPEN' AS status, NULL AS disposition FROM opened
+  UNION ALL SELECT key, ts, 1, CASE WHEN k >= 50 THEN 'RESOLVED' ELSE 'IN_PROGRESS' END,
+                   CASE WHEN k >= 50 THEN 'FIXED' ELSE 'PENDING' END FROM e
+  UNION ALL SELECT key, moment, 2, 'RESOLVED', 'PASSED' FROM passed),
+moments AS (
+  SELECT * FROM said
+  QUALIFY row_number() OVER (PARTITION BY key, moment ORDER BY rank DESC, status DESC, disposition DESC NULLS LAST) = 1),
+changed AS (
+  SELECT * FROM moments
+  WINDOW w AS (PARTITION BY key ORDER BY moment)
+  QUALIFY lag(status) OVER w IS DISTINCT FROM status OR lag(disposition) OVER w IS DISTINCT FROM disposition),
+states AS (
+  SELECT key AS deduplication_key, moment AS valid_from, lead(moment) OVER (PARTITION BY key ORDER BY moment) AS valid_to, status,
+         disposition FROM changed)"""
+
+ORACLES["incident_history"] = f"""WITH {INCIDENT_STATES}
+SELECT deduplication_key, strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f') AS valid_from,
+       strftime(valid_to, '%Y-%m-%d %H:%M:%S.%f') AS valid_to, status, disposition FROM states"""
+
+ORACLES["incident_states_at"] = f"""WITH {INCIDENT_STATES}
+SELECT deduplication_key, status, disposition, as_at
+FROM states, (SELECT unnest([{", ".join(f"DATE '{day}'" for day in b.STATE_DAYS)}]) AS as_at)
+WHERE valid_from <= as_at AND (valid_to IS NULL OR valid_to > as_at)"""
+
 ORACLES["score_rule_versions"] = """WITH d AS (
   SELECT upper(event_type) AS rule_id, CAST(ts AS DATE) AS evaluation_day, count(*) AS failed_rows FROM events GROUP BY ALL)
 SELECT rule_id, evaluation_day, failed_rows,

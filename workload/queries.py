@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 from functools import reduce
 
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions.numeric import percent
 from plumbline.functions.parsing import month_start
-from plumbline.operators import checks, cleaning, eda, keys, kpi, populations, profile, profile_state, recon, rules, scorecard, star
+from plumbline.operators import checks, cleaning, eda, incident_history as incident_states, keys, kpi, populations, profile, profile_state, recon, rules, scorecard, star, streaks
 from plumbline.plans import governance, publication
 from plumbline.sources import files
 from plumbline.sources.contracts import CHECK_SCHEMA
@@ -566,6 +566,20 @@ def score_timeliness(spark, sf):
     return scorecard.timeliness(scorecard.refresh_status(*b.refreshes(spark, sf)))
 
 
+def _refresh_runs(spark, sf):
+    return streaks.refresh_runs(scorecard.refresh_status(*b.refreshes(spark, sf)), b.holidays(spark, sf))
+
+
+@register
+def score_refresh_runs(spark, sf):
+    return _refresh_runs(spark, sf)
+
+
+@register
+def score_refresh_streaks(spark, sf):
+    return streaks.refresh_streaks(_refresh_runs(spark, sf), 3)
+
+
 @register
 def score_variance(spark, sf):
     rated = scorecard.variance_percent(_recon_daily(spark, sf))
@@ -617,6 +631,28 @@ def score_exception_register(spark, sf):
     return register_.withColumn("resolved_at", F.date_format("resolved_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+def _incident_history(spark, sf):
+    intervals = incident_states.history(*b.event_incidents(spark, sf), b.evaluations(spark, sf))
+    return files.materialize(intervals, "incident-history")
+
+
+def _stamps(df, *columns):
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in columns})
+
+
+@register
+def incident_history(spark, sf):
+    return _stamps(_incident_history(spark, sf), "valid_from", "valid_to")
+
+
+@register
+def incident_states_at(spark, sf):
+    """The state of every incident at the end of three days."""
+    intervals = _incident_history(spark, sf)
+    by_day = [incident_states.states_at(intervals, datetime.combine(day, datetime.min.time())).withColumn("as_at", F.lit(day)) for day in b.STATE_DAYS]
+    return reduce(DataFrame.unionByName, by_day).drop("valid_from", "valid_to")
+
+
 @register
 def score_rule_versions(spark, sf):
     return scorecard.rule_version_at(*b.rule_history(spark, sf))
