@@ -10,6 +10,7 @@ from functools import reduce
 from pathlib import Path
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from plumbline.functions.parsing import utc_stamp
@@ -46,9 +47,45 @@ def _findings(rules: list[dict[str, Any]]) -> Iterator[str]:
             yield f"{name} is defined twice or more ({uses} times)"
 
 
-def validate_rules(config: dict[str, Any]) -> dict[str, Any]:
-    """The configuration itself, or one error that lists all that is wrong with its rules."""
+def _resolved(frame: DataFrame, rule: dict[str, Any], frames: dict[str, DataFrame]) -> DataFrame:
+    """The rule's test over a frame without rows; Spark resolves it at once and starts no job."""
+    if rule["kind"] == "expression":
+        frame.agg(_failed_rows(rule, date.min))  # the use an evaluation makes of it
+        return frame.where(F.expr(rule["condition"]))  # no room for aggregates, windows or other types than boolean
+    if rule["kind"] == "freshness":
+        return frame.select(F.to_date(F.col(rule["column"])))
+    reference = frames[rule["reference_dataset"]].select(F.col(rule["reference_column"]).alias("_reference"))
+    return frame.select(F.col(rule["column"]).alias("_key")).join(reference, F.col("_key") == F.col("_reference"))
+
+
+def _unresolved(rules: list[dict[str, Any]], frames: dict[str, DataFrame]) -> Iterator[str]:
+    """What does not fit the columns of the datasets, a sentence each, of rules whose fields are sound."""
+    empty = {name: df.sparkSession.createDataFrame([], df.schema) for name, df in frames.items()}
+    for place, rule in enumerate(rules, 1):
+        if list(_findings([rule])):
+            continue
+        name = f"rule {place} ({rule['rule_id']})"
+        absent = [rule[f] for f in ("dataset", "reference_dataset") if f in rule and rule[f] not in empty]
+        if absent:
+            yield from (f"{name}: there is no dataset {dataset}" for dataset in absent)
+            continue
+        try:
+            resolved = _resolved(empty[rule["dataset"]], rule, empty)
+            if not resolved._jdf.queryExecution().analyzed().deterministic():
+                yield f"{name} does not give the same result each time"
+        except AnalysisException as error:
+            yield f"{name} can't be resolved: {error.getCondition()}"
+
+
+def validate_rules(config: dict[str, Any], frames: dict[str, DataFrame] | None = None) -> dict[str, Any]:
+    """The configuration itself, or one error that lists all that is wrong with its rules.
+
+    With `frames`, rules whose fields are sound are resolved against the columns of the datasets as well: unknown
+    datasets and columns, conditions that are malformed, not boolean, aggregates or random. No job is started.
+    """
     found = list(_findings(config["rules"]))
+    if frames:
+        found += _unresolved(config["rules"], frames)
     if found:
         raise ContractError("; ".join(found))
     return config

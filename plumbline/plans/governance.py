@@ -36,7 +36,7 @@ def run(
         files.write_governed(df, path)
         return spark.read.schema(df.schema).parquet(path)
 
-    rules.validate_rules(config)
+    rules.validate_rules(config, frames)
     profiles = keep("column_profile", profile.profile_all(frames, evaluated_at, distinct))
     results = keep("rule_result", rules.evaluate_rules(frames, config, day, evaluated_at))
 

@@ -130,3 +130,29 @@ def test_configuration_is_validated(tmp_path, spark):
     broken("severity", lambda r: r[0].update(severity="URGENT"))
     broken("unsupported kind", lambda r: r[0].update(kind="regex"))
     broken("lacks .*condition", lambda r: r[0].pop("condition"))
+
+
+def test_rules_are_resolved_before_a_run(spark, frames):
+    assert rules.validate_rules(CONFIG, frames) == CONFIG
+    wrong = [
+        rule("COLUMN", condition="amuont > 0"),
+        rule("SYNTAX", condition="amount > > 0"),
+        rule("TYPE", condition="trim(customer_id)"),
+        rule("AGGREGATE", condition="max(amount) > 0"),
+        rule("WINDOW", condition="row_number() OVER (ORDER BY amount) > 1"),
+        rule("RANDOM", condition="rand() > 0.5"),
+        rule("DATASET", dataset="ordres", condition="true"),
+        rule("REFERENCE_DATASET", "foreign_key", column="customer_id", reference_dataset="clients", reference_column="id"),
+        rule("REFERENCE_COLUMN", "foreign_key", column="customer_id", reference_dataset="customers", reference_column="no"),
+        rule("DAY", "freshness", column="days", max_age_days=7),
+        rule("KIND", "regex", condition="true"),
+    ]
+    config = {**CONFIG, "rules": [*CONFIG["rules"], *wrong]}
+    # No job may start: every frame here would fail in one.
+    failing = {name: df.where("raise_error('read') IS NULL") for name, df in frames.items()}
+    with pytest.raises(ContractError) as raised:
+        rules.validate_rules(config, failing)
+    found = str(raised.value).split("; ")
+    assert len(found) == len(wrong)
+    for name in (r["rule_id"] for r in wrong):
+        assert len([f for f in found if f"({name})" in f]) == 1
