@@ -53,9 +53,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; what each keeps is written before the next reads it."""
+    """All stages over `documents`; what each keeps is written before the next reads it, and dropped once that is written too.
+
+    An empty `documents` gives no rows. Columns may have any names: the stages carry them as one struct.
+    """
     scratch = Scratch(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = scratch.keep(stage(spark, docs, sf_dir), name, collect=True)
+        scratch.drop(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
