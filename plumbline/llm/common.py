@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -50,7 +51,21 @@ def arrow_map(df: DataFrame, of_batches: Callable[[Iterator[pa.RecordBatch]], It
                 file.write(source, source.relative_to(package.parent))
         context.addPyFile(str(archive))
         _shipped.add(context.applicationId)
-    return df.mapInArrow(of_batches, schema)
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from of_batches(batches)
+        give_back()
+
+    return df.mapInArrow(of_task, schema)
+
+
+def give_back() -> None:
+    """Return what a task has freed to the machine: a worker goes on to other operators, beside workers that need room."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
 
 
 class Scratch:
