@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
-from plumbline.llm.common import arrow_map, packed, slices, whole
+from plumbline.llm.common import arrow_map, slices, texts_of, with_text
 
 MAX_VOCABULARY = 64 << 20
 #: Kept chunks of text at most, and the length in characters up to which one is kept.
@@ -409,7 +409,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", decoded: bo
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(sent.value)
         for batch in batches:
-            texts = batch.column("text")
+            texts = texts_of(batch, text_col)
             for a, b in slices(pc.binary_length(texts).to_pylist()):
                 ids = codec.encode(texts.slice(a, b - a).to_pylist())
                 columns = {"row": batch.column("row").slice(a, b - a), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
@@ -418,7 +418,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", decoded: bo
                 yield pa.RecordBatch.from_arrays([*columns.values()], [*columns])
         codec.forget()  # a worker goes on to other tasks
 
-    rows = docs.select(packed(docs).alias("row"), whole(text_col).alias("text"))
+    rows = with_text(docs, text_col)
     schema = rows.select("row").schema.add("n_tokens", "long").add("ids", "binary")
     return arrow_map(rows, of_batches, schema.add("decoded", "string") if decoded else schema)
 

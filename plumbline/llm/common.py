@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plumbline.sources.files import scratch_dir
@@ -33,6 +34,19 @@ def packed(docs: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{name}`") for name in docs.columns])
 
 
+def with_text(docs: DataFrame, text_col: str) -> DataFrame:
+    """The rows of `docs` as struct `row`; only a text that is no string is sent to Python a second time, as `text`."""
+    held = any(f.name == text_col and isinstance(f.dataType, T.StringType) for f in docs.schema)
+    return docs.select(packed(docs).alias("row"), *([] if held else [whole(text_col).alias("text")]))
+
+
+def texts_of(batch: pa.RecordBatch, text_col: str) -> pa.Array:
+    """The whole texts of a batch of such rows; null ones are empty."""
+    if "text" in batch.schema.names:
+        return batch.column("text")
+    return pc.fill_null(batch.column("row").field(text_col), "")
+
+
 def unpacked(df: DataFrame, packed_as: str = "row") -> DataFrame:
     return df.select(f"{packed_as}.*")
 

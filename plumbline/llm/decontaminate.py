@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from plumbline.llm.common import Scratch, arrow_map, packed, slices, whole
+from plumbline.llm.common import Scratch, arrow_map, slices, texts_of, whole, with_text
 
 #: Text of the items that one automaton is made of, which takes about a hundred times that in the tasks that use it.
 BLOCK_BYTES = 2 << 20
@@ -241,36 +241,38 @@ def contamination(
     """
     scratch = Scratch(docs.sparkSession, "decontaminate")
     pieces = scratch.keep(pieces_of(benchmark, window, item_col, item_text_col), "pieces")
-    rows = docs.select(packed(docs).alias("row"), whole(text_col).alias("text"))
-    digest = F.sha2(F.col("text").cast("binary"), 256)
+    rows = with_text(docs, text_col)
+    text = F.col("text") if "text" in rows.columns else F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))
+    digest = F.sha2(text.cast("binary"), 256)
     last, passes = None, []
     for items in blocks_of(pieces, block_bytes):
         if last is not None:  # the hits of the pass before are written, so that its automaton can go
-            hit = _streamed(rows.select(F.struct(digest.alias("digest")).alias("row"), "text"), last).where(F.size("found.hits") > 0)
+            slim = rows.select(F.struct(digest.alias("digest")).alias("row"), text.alias("text"))
+            hit = _streamed(slim, last, text_col).where(F.size("found.hits") > 0)
             passes.append(scratch.keep(hit.groupBy("row.digest").agg(F.first("found").alias("found")), "found", collect=True))
         last = Automaton(items, window)
     if passes:
         parts = [F.flatten(F.collect_list(f"found.{name}")).alias(name) for name in ("items", "hits")]
         found = reduce(DataFrame.unionByName, passes).groupBy(F.col("digest").alias("of_digest")).agg(*parts)
         found = scratch.keep(found.select("of_digest", F.struct("items", "hits").alias("earlier")), "earlier")
-        rows = rows.join(found, digest == F.col("of_digest"), "left").select("row", "text", "earlier")
+        rows = rows.join(found, digest == F.col("of_digest"), "left").select(*rows.columns, "earlier")
     found = F.struct(F.aggregate("found.hits", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"]).alias("n_hit"), F.col("found"))
     bad = (F.col("n_hit") > 0) & (one_in * F.col("n_hit") >= F.col("n_words"))
     return (
-        _streamed(rows, last)
+        _streamed(rows, last, text_col)
         .select("row", found.alias("f"))
         .select("row", "f.found.n_words", "f.n_hit", "f.found.items", "f.found.hits")
         .withColumn("contaminated", bad)
     )
 
 
-def _streamed(rows: DataFrame, automaton: Automaton) -> DataFrame:
-    """(row, found) of (row, text) after a pass through one automaton; `earlier`, if there, is what other passes found."""
+def _streamed(rows: DataFrame, automaton: Automaton, text_col: str) -> DataFrame:
+    """(row, found) of (row, and text if it isn't in there) after a pass through one automaton; `earlier`, if there, is what other passes found."""
     sent = rows.sparkSession.sparkContext.broadcast(automaton)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            texts = texts_of(batch, text_col).cast(pa.binary()).to_pylist()
             before = batch.column("earlier").to_pylist() if "earlier" in batch.schema.names else [None] * len(texts)
             found = []
             for a, b in slices(map(len, texts)):
