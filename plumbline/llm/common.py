@@ -18,6 +18,8 @@ from plumbline.sources.files import scratch_dir
 
 #: Bytes of text that a task handles at once; a longer text is handled alone.
 SLICE_BYTES = 2 << 20
+#: Bytes of an Arrow batch between JVM and Python where the session sets none; a longer row is a batch of its own.
+BATCH_BYTES = "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +72,9 @@ def arrow_map(df: DataFrame, of_batches: Callable[[Iterator[pa.RecordBatch]], It
         yield from of_batches(batches)
         give_back()
 
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(limit, None) is None:
+        df.sparkSession.conf.set(limit, BATCH_BYTES)
     return df.mapInArrow(of_task, schema)
 
 
